@@ -10,8 +10,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from faultline.operators import forecast as FC
+from faultline.operators import governance as G
+from faultline.operators import grading as GR
 from faultline.operators import metrics as M
+from faultline.operators import profile as P
+from faultline.operators import quality as Q
+from faultline.operators.dedupe import dedupe_first
+from faultline.operators.joins import bounded_broadcast
 from faultline.plans.pipeline import Layers
+from faultline.schemas import ALARM_COLUMNS
+from faultline.sources import generate as GEN
+from faultline.sources.fixtures import AUDIT_AS_OF, AUDIT_TABLE
+from faultline.sources.tables import preview
+
+# Parameters of the registered reports.
+FORECAST_DAYS = 7
+HISTOGRAM_WIDTH_MIN = 60
+UPSTREAM_OF = AUDIT_TABLE
+DOWNSTREAM_OF = "main.net.s3"
+GENERATED_SITES = 1000
+GENERATED_DUPLICATES = 5000
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -160,7 +181,211 @@ def q_severity_by_region(L: Layers) -> DataFrame:
 
 @register("clear_time_histogram")
 def q_clear_hist(L: Layers) -> DataFrame:
-    return M.clear_time_histogram(L.silver(), 60)
+    return M.clear_time_histogram(L.silver(), HISTOGRAM_WIDTH_MIN)
+
+
+# ---- profiling and quality ---------------------------------------------------
+
+
+@register("null_profile")
+def q_null_profile(L: Layers) -> DataFrame:
+    return P.null_profile(L.alarms(), ["site_id", "severity"])
+
+
+@register("duplicate_profile")
+def q_duplicate_profile(L: Layers) -> DataFrame:
+    return P.duplicate_profile(L.alarms(), "alarm_id")
+
+
+@register("severity_distribution")
+def q_severity_distribution(L: Layers) -> DataFrame:
+    return P.distribution(L.alarms(), "severity")
+
+
+@register("alarm_type_distribution")
+def q_alarm_type_distribution(L: Layers) -> DataFrame:
+    return P.distribution(L.alarms(), "alarm_type")
+
+
+@register("coordinate_ranges")
+def q_coordinate_ranges(L: Layers) -> DataFrame:
+    return P.range_profile(L.sites(), "region", {"latitude": "lat", "longitude": "lon"}, "sites", 2)
+
+
+@register("preview_alarms")
+def q_preview_alarms(L: Layers) -> DataFrame:
+    return preview(L.alarms(), 20, ALARM_COLUMNS)
+
+
+@register("join_preview")
+def q_join_preview(L: Layers) -> DataFrame:
+    """Alarms joined to sites before deduplication (what Silver roughly holds)."""
+    a = L.alarms()
+    joined = a.join(bounded_broadcast(L.sites()), "site_id", "inner")
+    return joined.where(F.col("site_id").isNotNull() & F.col("severity").isNotNull()).select(
+        "alarm_id", "site_id", "region", "vendor", "severity", "latitude", "longitude"
+    )
+
+
+@register("dedupe_alarms")
+def q_dedupe_alarms(L: Layers) -> DataFrame:
+    return dedupe_first(L.alarms(), "alarm_id", ["raised_ts"])
+
+
+@register("silver_rejects")
+def q_silver_rejects(L: Layers) -> DataFrame:
+    rejected = Q.silver_rejects(L.alarms(), L.sites())
+    return rejected.select(*ALARM_COLUMNS, F.array_join(Q.REASONS, ",").alias("reason_list"))
+
+
+@register("expectation_counts")
+def q_expectation_counts(L: Layers) -> DataFrame:
+    return Q.silver_expectation_counts(L.alarms(), L.sites())
+
+
+@register("silver_validation")
+def q_silver_validation(L: Layers) -> DataFrame:
+    return Q.validate_silver(L.alarms(), L.silver())
+
+
+@register("gold_validation")
+def q_gold_validation(L: Layers) -> DataFrame:
+    return Q.validate_gold(L.gold())
+
+
+@register("clear_time_summary")
+def q_clear_time_summary(L: Layers) -> DataFrame:
+    return M.clear_time_summary(L.silver(), "region")
+
+
+# ---- governance ------------------------------------------------------------
+
+
+@register("table_usage")
+def q_table_usage(L: Layers) -> DataFrame:
+    return G.table_usage(L.feeds.audit(), AUDIT_TABLE, AUDIT_AS_OF, 30)
+
+
+@register("table_grants")
+def q_table_grants(L: Layers) -> DataFrame:
+    return G.table_grants(L.feeds.grants(), AUDIT_TABLE)
+
+
+@register("stale_grants")
+def q_stale_grants(L: Layers) -> DataFrame:
+    return G.stale_grants(L.feeds.grants(), L.feeds.audit(), AUDIT_TABLE, AUDIT_AS_OF, 30)
+
+
+@register("lineage_upstream")
+def q_lineage_upstream(L: Layers) -> DataFrame:
+    return G.lineage(L.feeds.lineage(), UPSTREAM_OF, "upstream")
+
+
+@register("lineage_downstream")
+def q_lineage_downstream(L: Layers) -> DataFrame:
+    return G.lineage(L.feeds.lineage(), DOWNSTREAM_OF, "downstream")
+
+
+@register("frequent_users")
+def q_frequent_users(L: Layers) -> DataFrame:
+    return G.frequent_users(L.feeds.audit(), AUDIT_AS_OF, 30, 10)
+
+
+@register("frequent_tables")
+def q_frequent_tables(L: Layers) -> DataFrame:
+    return G.frequent_tables(L.feeds.audit(), AUDIT_AS_OF, 30, 10)
+
+
+@register("usage_notices")
+def q_usage_notices(L: Layers) -> DataFrame:
+    usage = G.table_usage(L.feeds.audit(), AUDIT_TABLE, AUDIT_AS_OF, 30)
+    return G.usage_notices(usage, AUDIT_TABLE, 30)
+
+
+@register("table_file_stats")
+def q_table_file_stats(L: Layers) -> DataFrame:
+    return G.table_file_stats(L.feeds.table("events"))
+
+
+# ---- forecast --------------------------------------------------------------
+
+
+@register("daily_forecast")
+def q_daily_forecast(L: Layers) -> DataFrame:
+    return FC.forecast(M.daily_alarms(L.silver()), "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0)
+
+
+@register("alarm_forecast")
+def q_alarm_forecast(L: Layers) -> DataFrame:
+    daily = M.daily_alarms(L.silver())
+    fc = FC.forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0)
+    return FC.actual_vs_forecast(daily, fc, "ds", "alarm_count")
+
+
+@register("alarm_forecast_by_region")
+def q_alarm_forecast_by_region(L: Layers) -> DataFrame:
+    daily = M.daily_alarms(L.silver(), "region")
+    fc = FC.forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, group_col="region", floor=0.0)
+    return FC.actual_vs_forecast(daily, fc, "ds", "alarm_count", group_col="region")
+
+
+# ---- answer grading ----------------------------------------------------------
+
+
+def _scored(L: Layers) -> DataFrame:
+    return GR.score_answers(L.feeds.truths(), L.feeds.answers())
+
+
+@register("score_answers")
+def q_score_answers(L: Layers) -> DataFrame:
+    return _scored(L)
+
+
+@register("round_score")
+def q_round_score(L: Layers) -> DataFrame:
+    return GR.round_score(_scored(L))
+
+
+@register("answer_lift")
+def q_answer_lift(L: Layers) -> DataFrame:
+    return GR.answer_lift(_scored(L))
+
+
+@register("lift_summary")
+def q_lift_summary(L: Layers) -> DataFrame:
+    return GR.lift_summary(_scored(L))
+
+
+# ---- generators --------------------------------------------------------------
+
+
+@register("gen_sites")
+def q_gen_sites(L: Layers) -> DataFrame:
+    """Synthetic sites, one per customer key."""
+    return GEN.generate_sites(L.feeds.table("customer"), "c_custkey")
+
+
+@register("gen_alarms")
+def q_gen_alarms(L: Layers) -> DataFrame:
+    """Synthetic alarms, one per event id, keyed to 1,000 synthetic sites."""
+    return GEN.generate_alarms(L.feeds.table("events"), GENERATED_SITES, "event_id")
+
+
+@register("seed_nulls")
+def q_seed_nulls(L: Layers) -> DataFrame:
+    alarms = GEN.generate_alarms(L.feeds.table("events"), GENERATED_SITES, "event_id")
+    return P.null_profile(alarms, ["site_id", "severity"])
+
+
+@register("seed_duplicates")
+def q_seed_duplicates(L: Layers) -> DataFrame:
+    feed = GEN.generate_alarm_feed(L.feeds.table("events"), GENERATED_SITES, GENERATED_DUPLICATES, "event_id")
+    return P.duplicate_profile(feed, "alarm_id")
+
+
+@register("gen_alarm_feed")
+def q_gen_alarm_feed(L: Layers) -> DataFrame:
+    return GEN.generate_alarm_feed(L.feeds.table("events"), GENERATED_SITES, GENERATED_DUPLICATES, "event_id")
 
 
 def queries() -> dict[str, QueryFn]:
