@@ -10,14 +10,34 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 
+# Answers of earlier size checks in this process, keyed by the frame's
+# semantic plan hash and its input files (new or replaced files give a new
+# key, so a grown table is checked again).
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
+def _check_key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - frames without a stable key are simply not memoised
+        return None
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Runs ``limit(max_rows + 1).count()``: the job stops reading once the bound
     is passed, so the check costs at most ``max_rows + 1`` rows whatever the
-    size of the table.
+    size of the table. The answer is remembered for the same plan over the
+    same files.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = _check_key(df, max_rows)
+    if key is not None and key in _SIZE_CHECKS:
+        return _SIZE_CHECKS[key]
+    answer = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _SIZE_CHECKS[key] = answer
+    return answer
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
