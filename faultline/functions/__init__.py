@@ -8,6 +8,7 @@ from faultline.functions.scalar import (
     pick,
     severity_weight,
     time_to_clear,
+    zero_pad,
 )
 
 __all__ = [
@@ -20,4 +21,5 @@ __all__ = [
     "pick",
     "severity_weight",
     "time_to_clear",
+    "zero_pad",
 ]

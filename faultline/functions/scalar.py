@@ -72,6 +72,19 @@ def pick(values: list, u: Column) -> Column:
     return F.element_at(arr, (u * F.lit(len(values)) + F.lit(1)).cast("int"))
 
 
+def zero_pad(value: str | Column, width: int, prefix: str = "") -> Column:
+    """``prefix`` + ``value`` left-padded with zeros to ``width`` digits.
+
+    Same text as ``format_string(prefix + '%0<width>d', value)`` but without
+    the per-row formatter: a cast and a pad. Values that would not fit in
+    ``width`` (or are negative) take the formatter, so nothing is truncated.
+    """
+    v = col_of(value).cast("bigint")
+    fits = (v >= F.lit(0)) & (v < F.lit(10**width))
+    padded = F.concat(F.lit(prefix), F.lpad(v.cast("string"), width, "0"))
+    return F.when(fits, padded).otherwise(F.format_string(f"{prefix}%0{width}d", v))
+
+
 def contains_ignore_case(haystack: str | Column, needle: str | Column) -> Column:
     """True when ``needle`` occurs in ``haystack`` ignoring case (loose on purpose)."""
     return F.contains(F.lower(col_of(haystack)), F.lower(col_of(needle)))
