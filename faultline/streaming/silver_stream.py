@@ -1,0 +1,82 @@
+"""Incremental Silver: the same contract as ``build_silver`` over a file stream.
+
+New alarm files landing in a folder are read as a stream, deduplicated on
+``alarm_id`` within a watermark on ``raised_ts``, joined to the static site
+inventory (stream-static join; the inventory is broadcast only when its
+row count is proven small) and cleaned; each micro-batch appends to a
+Parquet Silver folder. Progress and dedupe state live under the shared
+checkpoint folder, so a restarted query (or a lost executor) resumes where it
+stopped without duplicating output.
+
+Difference from the batch build: within the watermark the *first copy to
+arrive* wins rather than the earliest ``raised_ts``. For verbatim copies, the
+duplicates the feed carries, the result is the same.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from faultline.functions.scalar import time_to_clear
+from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from faultline.schemas import ALARM_COLUMNS, ALARMS, SITE_ATTRIBUTES
+from faultline.session import ensure_checkpoint_dir
+
+EVENT_TIME = "_event_time"
+
+
+def silver_from_stream(
+    alarms: DataFrame,
+    sites: DataFrame,
+    watermark: str = "2 hours",
+    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Streaming Silver rows from a streaming alarm frame and a static site frame.
+
+    Deduplication comes before the null filters, as in the batch build.
+    Watermarks need a zoned timestamp, so ``raised_ts`` (timestamp_ntz, UTC)
+    is cast into a helper event-time column.
+    """
+    timed = alarms.select(*ALARM_COLUMNS).withColumn(EVENT_TIME, F.col("raised_ts").cast("timestamp"))
+    first = timed.withWatermark(EVENT_TIME, watermark).dropDuplicatesWithinWatermark(["alarm_id"])
+    dim = bounded_broadcast(sites.select("site_id", *SITE_ATTRIBUTES), max_broadcast_rows)
+    kept = first.join(dim, "site_id", "inner").where(F.col("site_id").isNotNull() & F.col("severity").isNotNull())
+    return kept.select(
+        *ALARM_COLUMNS,
+        *SITE_ATTRIBUTES,
+        time_to_clear("raised_ts", "cleared_ts").alias("time_to_clear_min"),
+        F.col("cleared_ts").isNull().alias("is_active"),
+    )
+
+
+def start_silver_stream(
+    spark: SparkSession,
+    alarms_dir: str,
+    sites: DataFrame,
+    silver_dir: str,
+    name: str = "silver_alarms",
+    watermark: str = "2 hours",
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Start the incremental Silver build; returns the running query.
+
+    ``available_now`` processes everything present, then stops (a scheduled
+    incremental run); otherwise the query keeps running on new files.
+    """
+    reader = spark.readStream.schema(ALARMS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = silver_from_stream(reader.parquet(alarms_dir), sites, watermark)
+    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/faultline-streams/{name}"
+    writer = (
+        rows.writeStream.format("parquet")
+        .option("path", silver_dir)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .queryName(name)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
