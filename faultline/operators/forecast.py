@@ -35,6 +35,7 @@ def fit_trend(series: DataFrame, time_col: str, value_col: str, group_col: str |
         F.regr_sxx(y, x).alias("_sxx"),
         F.regr_count(y, x).alias("_n"),
         F.max(time_col).alias("_last"),
+        F.max_by(F.col(value_col), F.col(time_col)).alias("_last_value"),
     ]
     fit = series.groupBy(*keys).agg(*aggs) if keys else series.agg(*aggs)
     sse = F.greatest(F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx"), F.lit(0.0))
@@ -45,6 +46,7 @@ def fit_trend(series: DataFrame, time_col: str, value_col: str, group_col: str |
         F.coalesce(F.col("_intercept"), F.lit(0.0)).alias("_intercept"),
         sd.alias("_sd"),
         "_last",
+        "_last_value",
         "_n",
     )
 
@@ -64,9 +66,21 @@ def forecast(
     series' last point. Output: ``[group_col], time_col,
     <value>_forecast, <value>_upper, <value>_lower`` rounded to 4 digits.
     """
+    fit = fit_trend(series, time_col, value_col, group_col)
+    return _future(fit, time_col, value_col, horizon, horizon_days, group_col, floor)
+
+
+def _future(
+    fit: DataFrame,
+    time_col: str,
+    value_col: str,
+    horizon,
+    horizon_days: int | None,
+    group_col: str | None,
+    floor: float | None,
+) -> DataFrame:
     if (horizon is None) == (horizon_days is None):
         raise ValueError("give exactly one of horizon, horizon_days")
-    fit = fit_trend(series, time_col, value_col, group_col)
     start = F.col("_last") + F.make_dt_interval(days=F.lit(1))
     if horizon is not None:
         end = F.lit(horizon).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(1))
@@ -94,35 +108,33 @@ def forecast(
 
 def actual_vs_forecast(
     daily: DataFrame,
-    fc: DataFrame,
     time_col: str = "ds",
     value_col: str = "alarm_count",
+    horizon: dt.datetime | str | None = None,
+    horizon_days: int | None = None,
     group_col: str | None = None,
+    floor: float | None = 0.0,
 ) -> DataFrame:
-    """Three stacked parts: actuals, a bridge point, forecasts.
+    """Three stacked parts per series: actuals, a bridge point, forecasts.
 
     The bridge repeats each series' last actual as a forecast value so the
     two lines meet. ``actual`` is the count (bigint), ``forecast`` a double.
+    The bridge comes out of the same one-pass fit as the forecast
+    (``max_by(value, time)``), so the daily series is aggregated once for
+    the actuals and once for the fit, and both read the same shuffle.
     """
     keys = [group_col] if group_col else []
+    fit = fit_trend(daily, time_col, value_col, group_col)
     actual = daily.select(
         *keys, time_col, F.col(value_col).cast("bigint").alias("actual"), F.lit(None).cast("double").alias("forecast")
     )
-    last = daily.groupBy(*keys).agg(F.max(time_col).alias("_last")) if keys else daily.agg(
-        F.max(time_col).alias("_last")
-    )
-    if keys:
-        bridge_src = daily.join(last, keys).where(F.col(time_col) == F.col("_last"))
-    else:
-        # ``last`` is a single row: broadcasting it is safe at any scale.
-        bridge_src = daily.join(F.broadcast(last), F.col(time_col) == F.col("_last"))
-    bridge = bridge_src.select(
+    bridge = fit.select(
         *keys,
-        time_col,
+        F.col("_last").alias(time_col),
         F.lit(None).cast("bigint").alias("actual"),
-        F.col(value_col).cast("double").alias("forecast"),
+        F.col("_last_value").cast("double").alias("forecast"),
     )
-    future = fc.select(
+    future = _future(fit, time_col, value_col, horizon, horizon_days, group_col, floor).select(
         *keys,
         time_col,
         F.lit(None).cast("bigint").alias("actual"),

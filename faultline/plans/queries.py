@@ -318,15 +318,15 @@ def q_daily_forecast(L: Layers) -> DataFrame:
 @register("alarm_forecast")
 def q_alarm_forecast(L: Layers) -> DataFrame:
     daily = M.daily_alarms(L.silver())
-    fc = FC.forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0)
-    return FC.actual_vs_forecast(daily, fc, "ds", "alarm_count")
+    return FC.actual_vs_forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0)
 
 
 @register("alarm_forecast_by_region")
 def q_alarm_forecast_by_region(L: Layers) -> DataFrame:
     daily = M.daily_alarms(L.silver(), "region")
-    fc = FC.forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, group_col="region", floor=0.0)
-    return FC.actual_vs_forecast(daily, fc, "ds", "alarm_count", group_col="region")
+    return FC.actual_vs_forecast(
+        daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, group_col="region", floor=0.0
+    )
 
 
 # ---- answer grading ----------------------------------------------------------

@@ -134,12 +134,11 @@ def test_forecast_trend_floor_and_horizon(spark):
 
 def test_actual_vs_forecast_bridge(spark):
     daily = _daily(spark, [(0, 10), (1, 12), (3, 16)])  # day 2 missing stays missing
-    fc = FC.forecast(daily, "ds", "alarm_count", horizon_days=2)
-    out = FC.actual_vs_forecast(daily, fc).collect()
+    out = FC.actual_vs_forecast(daily, horizon_days=2).collect()
     assert len(out) == 3 + 1 + 2
     bridge = [r for r in out if r.actual is None and r.ds == dt.datetime(2024, 1, 4)]
     assert len(bridge) == 1 and bridge[0].forecast == 16.0
-    assert [f.dataType.simpleString() for f in FC.actual_vs_forecast(daily, fc).schema.fields] == [
+    assert [f.dataType.simpleString() for f in FC.actual_vs_forecast(daily, horizon_days=2).schema.fields] == [
         "timestamp_ntz",
         "bigint",
         "double",
@@ -151,8 +150,7 @@ def test_forecast_by_group(spark):
     sites = frame(spark, [site("SITE-00000", "East"), site("SITE-00001", "West")], SITES)
     silver = build_silver(frame(spark, rows, ALARMS), sites)
     daily = M.daily_alarms(silver, "region")
-    fc = FC.forecast(daily, "ds", "alarm_count", horizon_days=3, group_col="region")
-    out = FC.actual_vs_forecast(daily, fc, group_col="region")
+    out = FC.actual_vs_forecast(daily, horizon_days=3, group_col="region")
     per_region = {r.region: r["count"] for r in out.groupBy("region").count().collect()}
     actual_days = {r.region: r["count"] for r in daily.groupBy("region").count().collect()}
     assert per_region == {k: v + 1 + 3 for k, v in actual_days.items()}
