@@ -17,6 +17,12 @@ from pyspark.sql import SparkSession
 # UTC, so the session zone must be UTC for results to be stable.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # No broadcast from a planner size *estimate* (file sizes can understate
+    # a table many times). Broadcasts happen only behind an explicit row-count
+    # check (``bounded_broadcast``) or when adaptive execution has *measured*
+    # a shuffle side below the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -48,12 +54,26 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    for key in ("spark.sql.session.timeZone",):
-        spark.conf.set(key, conf[key])
+    apply_sql_conf(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+# SQL settings that can be applied to a running session the library is handed.
+SQL_CONF_KEYS = (
+    "spark.sql.session.timeZone",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+)
+
+
+def apply_sql_conf(spark: SparkSession) -> None:
+    for key in SQL_CONF_KEYS:
+        spark.conf.set(key, BASE_CONF[key])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
