@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from faultline.operators.medallion import build_gold, build_silver
 from faultline.session import ensure_checkpoint_dir
 from faultline.sources.fixtures import Feeds
+from faultline.sources.sinks import publish
 
 
 class Layers:
@@ -64,3 +65,22 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def publish_layer(
+    df: DataFrame,
+    table: str,
+    bucket_by: tuple[int, str] | None = None,
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Publish a layer as a catalog table whose files sit in the shared checkpoint folder.
+
+    Silver is published bucketed by ``alarm_id`` with as many buckets as
+    shuffle partitions: the deduplication already hash-partitioned the rows
+    that way, so the write adds no shuffle, and later aggregations or joins
+    on ``alarm_id`` read the buckets without an exchange.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/faultline/tables/{table.replace('.', '_')}-{uuid.uuid4().hex}"
+    return publish(df, table, partition_by=partition_by, bucket_by=bucket_by, path=path)

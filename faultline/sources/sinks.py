@@ -24,12 +24,14 @@ def publish(
     partition_by: list[str] | None = None,
     bucket_by: tuple[int, str] | None = None,
     fmt: str = "parquet",
+    path: str | None = None,
 ) -> DataFrame:
     """Create or replace ``table`` from ``df`` (CTAS; schema changes replace the table).
 
     ``partition_by`` (e.g. ``event_date`` on Silver) lets date filters prune
     files; ``bucket_by=(n, key)`` pre-shuffles on ``key`` so later joins and
-    aggregations on it need no exchange.
+    aggregations on it need no exchange. With ``path`` the table's files live
+    there (an external table, e.g. in the shared checkpoint folder).
     """
     spark = df.sparkSession
     writer = df.write.mode("overwrite").format(fmt)
@@ -37,6 +39,8 @@ def publish(
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
+    if path:
+        writer = writer.option("path", path)
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
     writer.saveAsTable(table)
     return spark.table(table)
