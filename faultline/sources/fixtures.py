@@ -37,7 +37,8 @@ def _k(props: Column) -> Column:
 def sites_from_tables(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """``sites`` from ``customer ⨝ nation ⨝ region`` (one site per customer)."""
     geo = nation.select("n_nationkey", "n_name", "n_regionkey").join(
-        region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")
+        bounded_broadcast(region.select("r_regionkey", "r_name"), GEO_MAX_ROWS),
+        F.col("n_regionkey") == F.col("r_regionkey"),
     )
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
         bounded_broadcast(geo, GEO_MAX_ROWS), F.col("c_nationkey") == F.col("n_nationkey")
