@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators.dedupe import ROW_ID, flag_first, with_row_id
+from faultline.operators.dedupe import flag_first, with_row_id
 from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 from faultline.schemas import ALARM_COLUMNS
 
@@ -136,6 +136,3 @@ def validate_gold(gold: DataFrame) -> DataFrame:
         F.count_if(F.col("latitude").isNull()).alias("null_coords"),
     )
 
-
-def drop_reason_columns(df: DataFrame) -> DataFrame:
-    return df.drop(ROW_ID, "_first", "_known")

@@ -22,7 +22,6 @@ FIXTURE_SEVERITIES = ["Critical", "Major", "Minor", "Warning"]
 INSTALL_EPOCH = dt.datetime(2020, 1, 1)
 AUDIT_AS_OF = dt.datetime(2024, 1, 30, 23, 57, 0)
 AUDIT_TABLE = "main.net.t1"
-AUDIT_CATALOG, AUDIT_SCHEMA, AUDIT_TABLE_NAME = "main", "net", "t1"
 EMAIL_DOMAIN = "example.com"
 
 # TPC-H ``nation`` and ``region`` are fixed-size tables (25 and 5 rows); the

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.scalar import hashed_uniform, pick
+from faultline.functions.scalar import hashed_uniform, pick, zero_pad
 
 # The eight metros (region, state, base latitude, base longitude).
 METROS = [
@@ -50,8 +50,8 @@ def _metro(idx: Column, field: int) -> Column:
 def generate_sites(ids: DataFrame, id_col: str = "id", as_of: dt.datetime = DEFAULT_AS_OF) -> DataFrame:
     """One site per index: metro by index, jittered coordinates, random vendor and kit.
 
-    Labels use ``format_string`` (``%04d``), which never truncates, unlike a
-    4-character left pad.
+    Labels pad the index to four digits without truncating (``zero_pad``),
+    unlike a plain 4-character left pad.
     """
     i = F.col(id_col).cast("bigint")
     u = lambda s: hashed_uniform(i, s)
@@ -62,8 +62,8 @@ def generate_sites(ids: DataFrame, id_col: str = "id", as_of: dt.datetime = DEFA
         "DAY", -(u(S_INSTALL) * F.lit(2000)).cast("int"), F.lit(as_of).cast("timestamp_ntz")
     )
     return ids.select(
-        F.format_string("SITE-%05d", i).alias("site_id"),
-        F.concat_ws("-", state, F.upper(F.substring(region, 1, 3)), F.format_string("%04d", i)).alias("site_name"),
+        zero_pad(i, 5, "SITE-").alias("site_id"),
+        F.concat_ws("-", state, F.upper(F.substring(region, 1, 3)), zero_pad(i, 4)).alias("site_name"),
         region.alias("region"),
         state.alias("state"),
         pick(VENDORS, u(S_VENDOR)).alias("vendor"),
@@ -108,9 +108,9 @@ def generate_alarms(
     )
     out = ids.select(
         i.alias("_idx"),
-        F.format_string("ALM-%08d", i).alias("alarm_id"),
-        F.format_string("SITE-%05d", site_n).alias("site_id"),
-        F.format_string("ENB-%05d", (u(S_NODE) * 50000).cast("int")).alias("node_id"),
+        zero_pad(i, 8, "ALM-").alias("alarm_id"),
+        zero_pad(site_n, 5, "SITE-").alias("site_id"),
+        zero_pad((u(S_NODE) * 50000).cast("int"), 5, "ENB-").alias("node_id"),
         pick(ALARM_TYPES, u(S_TYPE)).alias("alarm_type"),
         pick(SEVERITIES, u(S_SEV)).alias("severity"),
         raised.alias("raised_ts"),
