@@ -36,7 +36,13 @@ def dedupe_first(
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """Attach a unique row id (stable across re-execution of a file scan)."""
+    """Attach a unique row id.
+
+    The id is the partition index plus the position in the partition, so on
+    a file scan (fixed splits, fixed row order) a recomputed partition, for
+    example after a lost executor, gets the same ids, and two scans of the
+    same files agree.
+    """
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 

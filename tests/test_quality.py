@@ -102,3 +102,22 @@ def test_range_profile(spark):
     sites = frame(spark, [site("S1", "R", lat=30.123, lon=-90.5), site("S2", "R", lat=31.456, lon=-91.25)], SITES)
     r = P.range_profile(sites, "region", {"latitude": "lat", "longitude": "lon"}, "sites").collect()[0]
     assert (r.sites, r.min_lat, r.max_lat, r.min_lon, r.max_lon) == (2, 30.12, 31.46, -91.25, -90.5)
+
+
+def test_clear_time_summary_against_brute_force(layers_small):
+    """Approximate quantiles are exact below the sketch size: compare with nearest rank."""
+    import math
+
+    from faultline.operators import metrics as M
+
+    got = {r.region: r for r in M.clear_time_summary(layers_small.silver(), "region").collect()}
+    values: dict[str, list[int]] = {}
+    for r in layers_small.silver().where("time_to_clear_min IS NOT NULL").select("region", "time_to_clear_min").collect():
+        values.setdefault(r.region, []).append(r.time_to_clear_min)
+    assert set(got) == set(values)
+    for region, v in values.items():
+        v.sort()
+        g = got[region]
+        assert (g.cleared_alarms, g.min_min, g.max_min) == (len(v), v[0], v[-1])
+        for q, name in ((0.25, "p25_min"), (0.5, "p50_min"), (0.75, "p75_min"), (0.95, "p95_min")):
+            assert g[name] == v[max(0, math.ceil(q * len(v)) - 1)], (region, name)
