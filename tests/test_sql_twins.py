@@ -1,0 +1,28 @@
+"""SQL forms of Silver, Gold and the headline query equal the DataFrame operators."""
+
+from __future__ import annotations
+
+from faultline.operators import metrics as M
+from faultline.plans import sql as S
+
+
+def test_sql_medallion_matches_dataframe_build(spark, layers_small):
+    layers_small.alarms().createOrReplaceTempView("fl_alarms")
+    layers_small.sites().createOrReplaceTempView("fl_sites")
+    silver = S.silver_sql(spark, "fl_alarms", "fl_sites")
+    assert silver.columns == layers_small.silver().columns
+    assert silver.exceptAll(layers_small.silver()).count() == 0
+    assert silver.count() == layers_small.silver().count() == 950
+
+    silver.createOrReplaceTempView("fl_silver")
+    gold = S.gold_sql(spark, "fl_silver")
+    assert gold.schema == layers_small.gold().schema
+    assert gold.exceptAll(layers_small.gold()).count() == 0
+
+    # past the bound the hint is left out and the join is a sort-merge
+    unhinted = S.silver_sql(spark, "fl_alarms", "fl_sites", max_broadcast_rows=10)
+    assert unhinted.exceptAll(layers_small.silver()).count() == 0
+
+    gold.createOrReplaceTempView("fl_gold")
+    top = [tuple(r) for r in S.worst_sites_sql(spark, "fl_gold", 10).collect()]
+    assert top == [tuple(r) for r in M.worst_sites(layers_small.gold(), 10).collect()]
