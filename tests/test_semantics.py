@@ -169,3 +169,53 @@ def test_hot_site_matches_plain_group_by(spark):
         g = gold[r.site_id]
         assert (g.total_alarms, g.critical_alarms, g.avg_mttr_min) == (r.n, r.crit, r.mttr)
     assert gold["SITE-00000"].total_alarms == n // 2
+
+
+def _skewed_alarms(spark, n: int, hot_share: float = 1 / 3):
+    """``n`` alarms; a third of the rows are copies of one alarm_id on one site."""
+    hot = int(n * hot_share)
+    i = F.col("id")
+    return spark.range(n).select(
+        F.when(i < hot, F.lit("HOT")).otherwise(F.format_string("A%07d", i)).alias("alarm_id"),
+        F.when(i < hot, F.lit("SITE-00000")).otherwise(F.format_string("SITE-%05d", i % 50)).alias("site_id"),
+        F.lit("ENB-00001").alias("node_id"),
+        F.lit("LinkDown").alias("alarm_type"),
+        F.lit("Major").alias("severity"),
+        F.timestamp_add("SECOND", (i % 1000).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias(
+            "raised_ts"
+        ),
+        F.lit(None).cast("timestamp_ntz").alias("cleared_ts"),
+        F.lit("ACTIVE").alias("status"),
+        F.lit("C0").alias("probable_cause"),
+        F.lit("2024-01-01").alias("event_date"),
+    )
+
+
+def test_hot_alarm_id_dedupes_to_its_earliest_copy(spark):
+    from faultline.operators.dedupe import dedupe_first, flag_first
+
+    n = 30000
+    alarms = _skewed_alarms(spark, n).repartition(8)
+    first = dedupe_first(alarms, "alarm_id", ["raised_ts"])
+    assert first.count() == n - n // 3 + 1
+    hot = first.where(F.col("alarm_id") == "HOT").collect()
+    assert len(hot) == 1 and hot[0].raised_ts.second == 0 and hot[0].raised_ts.minute == 0
+    flagged = flag_first(alarms, "alarm_id", ["raised_ts"])
+    assert flagged.where("is_first").count() == n - n // 3 + 1
+    assert flagged.count() == n
+
+
+def test_hot_site_on_the_sort_merge_path_matches_broadcast(spark):
+    """With the site dimension over the broadcast bound, Silver is the same."""
+    n = 30000
+    hot = n // 3
+    alarms = _skewed_alarms(spark, n)
+    sites = frame(spark, [site(f"SITE-{i:05d}") for i in range(50)], SITES)
+    broadcast = build_silver(alarms, sites)
+    shuffled = build_silver(alarms, sites, max_broadcast_rows=10)
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+    assert shuffled.count() == broadcast.count() == n - hot + 1
+    assert shuffled.exceptAll(broadcast).count() == 0
+    gold = {r.site_id: r.total_alarms for r in build_gold(shuffled).collect()}
+    # the HOT alarm (one row after dedupe) plus every 50th of the other ids
+    assert gold["SITE-00000"] == 1 + sum(1 for i in range(hot, n) if i % 50 == 0)
