@@ -18,7 +18,13 @@ _SIZE_CHECKS: dict[tuple, bool] = {}
 
 def _check_key(df: DataFrame, max_rows: int) -> tuple | None:
     try:
-        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+        return (
+            df.sparkSession.sparkContext.applicationId,
+            df.semanticHash(),
+            df.schema.json(),
+            tuple(sorted(df.inputFiles())),
+            max_rows,
+        )
     except Exception:  # noqa: BLE001 - frames without a stable key are simply not memoised
         return None
 

@@ -83,13 +83,13 @@ def tag_silver_contract(
         sites.select("site_id").distinct().withColumn("_known", F.lit(True)), max_broadcast_rows
     )
     tagged = flagged.join(known, "site_id", "left")
-    rules = {
-        "first_copy_of_alarm": F.col("_first"),
-        "site_id_not_null": F.col("site_id").isNotNull(),
-        "severity_not_null": F.col("severity").isNotNull(),
-        "site_known": F.col("site_id").isNull() | F.col("_known").isNotNull(),
-    }
-    return tagged, rules
+    predicates = [
+        F.col("_first"),
+        F.col("site_id").isNotNull(),
+        F.col("severity").isNotNull(),
+        F.col("site_id").isNull() | F.col("_known").isNotNull(),
+    ]
+    return tagged, dict(zip(SILVER_RULES, predicates, strict=True))
 
 
 def silver_rejects(alarms: DataFrame, sites: DataFrame) -> DataFrame:
