@@ -7,12 +7,51 @@ ignoring case, so a short truth can pass inside a longer word.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.scalar import contains_ignore_case, excerpt
+from faultline.operators import metrics as M
 from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 
+# The five graded questions (case id, question).
+BENCHMARK_QUESTIONS = [
+    (1, "show me the worst performing sites"),
+    (2, "which region has the most critical alarms?"),
+    (3, "which vendor has the worst (highest) mean time to repair?"),
+    (4, "for the single worst site by fault score, what is its most frequent probable cause?"),
+    (5, "which region has the highest share of active alarms relative to its total alarms?"),
+]
+
+
+def benchmark_truths(silver: DataFrame, gold: DataFrame) -> DataFrame:
+    """``(case_id, question, truth)`` for the five graded questions, from the data.
+
+    Each truth is the single cell of a one-row ranking over Silver or Gold
+    (worst site, region with most critical alarms, vendor with the highest
+    alarm-level MTTR, the worst site's most frequent cause, region with the
+    highest active share). The five one-row frames are stacked, so nothing
+    is collected to the driver.
+    """
+    answers = [
+        M.worst_site(gold),
+        M.top_critical_region(gold),
+        M.slowest(silver, "vendor"),
+        M.worst_site_top_cause(silver, gold),
+        M.top_active_region(gold),
+    ]
+    parts = [
+        frame.select(
+            F.lit(case_id).cast("bigint").alias("case_id"),
+            F.lit(question).alias("question"),
+            F.col(frame.columns[0]).cast("string").alias("truth"),
+        )
+        for (case_id, question), frame in zip(BENCHMARK_QUESTIONS, answers, strict=True)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
 
 def score_answers(
     truths: DataFrame,

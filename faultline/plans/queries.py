@@ -336,6 +336,11 @@ def _scored(L: Layers) -> DataFrame:
     return GR.score_answers(L.feeds.truths(), L.feeds.answers())
 
 
+@register("benchmark_truths")
+def q_benchmark_truths(L: Layers) -> DataFrame:
+    return GR.benchmark_truths(L.silver(), L.gold())
+
+
 @register("score_answers")
 def q_score_answers(L: Layers) -> DataFrame:
     return _scored(L)
