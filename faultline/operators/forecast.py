@@ -22,8 +22,15 @@ def _day_number(ts: Column) -> Column:
     return F.unix_date(ts.cast("date")).cast("double")
 
 
-def fit_trend(series: DataFrame, time_col: str, value_col: str, group_col: str | None = None) -> DataFrame:
-    """Per series: slope, intercept, residual sd, last time stamp, point count."""
+def fit_trend(
+    series: DataFrame, time_col: str, value_col: str, group_col: str | None = None, weekly: bool = False
+) -> DataFrame:
+    """Per series: slope, intercept, residual sd, last time stamp and value, point count.
+
+    With ``weekly`` also the mean day number and mean value per weekday
+    (arrays indexed by ``dayofweek``), from conditional averages in the
+    same aggregation.
+    """
     x = _day_number(F.col(time_col))
     y = F.col(value_col).cast("double")
     keys = [group_col] if group_col else []
@@ -37,6 +44,10 @@ def fit_trend(series: DataFrame, time_col: str, value_col: str, group_col: str |
         F.max(time_col).alias("_last"),
         F.max_by(F.col(value_col), F.col(time_col)).alias("_last_value"),
     ]
+    if weekly:
+        dow = _weekday(F.col(time_col))
+        aggs += [F.avg(F.when(dow == d, y)).alias(f"_wy{d}") for d in range(1, 8)]
+        aggs += [F.avg(F.when(dow == d, x)).alias(f"_wx{d}") for d in range(1, 8)]
     fit = series.groupBy(*keys).agg(*aggs) if keys else series.agg(*aggs)
     sse = F.greatest(F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx"), F.lit(0.0))
     sd = F.when(F.col("_n") > 2, F.sqrt(sse / (F.col("_n") - 2))).otherwise(F.lit(0.0))
@@ -48,6 +59,14 @@ def fit_trend(series: DataFrame, time_col: str, value_col: str, group_col: str |
         "_last",
         "_last_value",
         "_n",
+        *(
+            [
+                F.array(*[F.col(f"_wy{d}") for d in range(1, 8)]).alias("_wy"),
+                F.array(*[F.col(f"_wx{d}") for d in range(1, 8)]).alias("_wx"),
+            ]
+            if weekly
+            else []
+        ),
     )
 
 
@@ -59,17 +78,26 @@ def forecast(
     horizon_days: int | None = None,
     group_col: str | None = None,
     floor: float | None = 0.0,
+    weekly: bool = False,
 ) -> DataFrame:
     """Daily points after the last observation up to ``horizon`` (exclusive).
 
     Give either an absolute ``horizon`` or ``horizon_days`` after each
     series' last point. Output: ``[group_col], time_col,
     <value>_forecast, <value>_upper, <value>_lower`` rounded to 4 digits.
+    ``weekly`` adds each weekday's mean residual from the trend (a weekday
+    effect), ``avg_d(y) - intercept - slope * avg_d(x)``; the per-weekday
+    means come out of the same single aggregation as the trend, so no join
+    is needed. The band keeps the trend's residual spread.
     """
-    fit = fit_trend(series, time_col, value_col, group_col)
+    fit = fit_trend(series, time_col, value_col, group_col, weekly)
     return _future(fit, time_col, value_col, horizon, horizon_days, group_col, floor)
 
 
+
+def _weekday(ts: Column) -> Column:
+    return F.dayofweek(ts.cast("date"))
+
 def _future(
     fit: DataFrame,
     time_col: str,
@@ -90,8 +118,15 @@ def _future(
         F.array().cast("array<timestamp_ntz>")
     )
     keys = [group_col] if group_col else []
-    points = fit.select(*keys, "_slope", "_intercept", "_sd", F.explode(days).alias(time_col))
+    weekly = "_wy" in fit.columns
+    carry = ["_wy", "_wx"] if weekly else []
+    points = fit.select(*keys, "_slope", "_intercept", "_sd", *carry, F.explode(days).alias(time_col))
     yhat = F.col("_intercept") + F.col("_slope") * _day_number(F.col(time_col))
+    if weekly:
+        d = _weekday(F.col(time_col))
+        my, mx = F.element_at(F.col("_wy"), d), F.element_at(F.col("_wx"), d)
+        effect = my - (F.col("_intercept") + F.col("_slope") * mx)
+        yhat = yhat + F.coalesce(effect, F.lit(0.0))
 
     def clamp(c: Column) -> Column:
         return F.round(c if floor is None else F.greatest(F.lit(float(floor)), c), DIGITS)

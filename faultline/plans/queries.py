@@ -315,6 +315,12 @@ def q_daily_forecast(L: Layers) -> DataFrame:
     return FC.forecast(M.daily_alarms(L.silver()), "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0)
 
 
+@register("daily_forecast_weekly")
+def q_daily_forecast_weekly(L: Layers) -> DataFrame:
+    daily = M.daily_alarms(L.silver())
+    return FC.forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0, weekly=True)
+
+
 @register("alarm_forecast")
 def q_alarm_forecast(L: Layers) -> DataFrame:
     daily = M.daily_alarms(L.silver())

@@ -155,3 +155,21 @@ def test_forecast_by_group(spark):
     actual_days = {r.region: r["count"] for r in daily.groupBy("region").count().collect()}
     assert per_region == {k: v + 1 + 3 for k, v in actual_days.items()}
     assert build_gold(silver).count() == 2
+
+
+def test_weekly_effect_recovers_a_weekly_pattern(spark):
+    # trend 100 + 2/day plus +30 on Mondays, -10 on Sundays, over 8 weeks
+    rows = []
+    for i in range(56):
+        day = dt.datetime(2024, 1, 1) + dt.timedelta(days=i)  # 2024-01-01 is a Monday
+        bump = 30 if day.weekday() == 0 else (-10 if day.weekday() == 6 else 0)
+        rows.append((day, 100 + 2 * i + bump))
+    daily = spark.createDataFrame(rows, "ds timestamp_ntz, alarm_count long")
+    fc = {r.ds.date(): r.alarm_count_forecast for r in FC.forecast(daily, "ds", "alarm_count", horizon_days=7, weekly=True).collect()}
+    plain = {r.ds.date(): r.alarm_count_forecast for r in FC.forecast(daily, "ds", "alarm_count", horizon_days=7).collect()}
+    monday, sunday, wednesday = dt.date(2024, 2, 26), dt.date(2024, 3, 3), dt.date(2024, 2, 28)
+    assert fc[monday] - fc[wednesday] > 20  # Monday stays high (effect 30, trend -4)
+    assert fc[sunday] < plain[sunday]  # Sunday stays low
+    assert abs(fc[monday] - (100 + 2 * 56 + 30)) < 3
+    assert abs(fc[wednesday] - (100 + 2 * 58)) < 3
+    assert abs(fc[sunday] - (100 + 2 * 62 - 10)) < 3
