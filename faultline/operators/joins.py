@@ -32,28 +32,38 @@ def _check_key(df: DataFrame, max_rows: int) -> tuple | None:
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: the job stops reading once the bound
-    is passed, so the check costs at most ``max_rows + 1`` rows whatever the
-    size of the table. The answer is remembered for the same plan over the
-    same files.
+    A plain ``count()``: column pruning leaves the scan nothing (or only
+    join keys) to decode, and only one partial count per task is shuffled.
+    (``limit(n + 1).count()`` looks cheaper but plans a per-task limit
+    followed by a single-partition exchange of up to ``n + 1`` rows from
+    every task, which on a large table ships far more than it saves.) The
+    answer is remembered for the same plan over the same files.
     """
     key = _check_key(df, max_rows)
     if key is not None and key in _SIZE_CHECKS:
         return _SIZE_CHECKS[key]
-    answer = df.limit(max_rows + 1).count() <= max_rows
+    answer = df.count() <= max_rows
     if key is not None:
         _SIZE_CHECKS[key] = answer
     return answer
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    bound_by: DataFrame | None = None,
+) -> DataFrame:
     """Mark ``df`` for broadcast only when its row count is proven small.
 
+    ``bound_by`` is a frame whose row count bounds ``df``'s (the table ``df``
+    was projected, filtered or deduplicated from); checking it instead
+    avoids computing ``df`` once for the check and again for the join.
     Past the bound the frame is returned unchanged; the join then shuffles
     both sides on the key (sort-merge), and adaptive execution may still pick
     a broadcast from the measured shuffle size or split a skewed partition.
     """
-    if max_rows > 0 and has_at_most(df, max_rows):
+    proof = df if bound_by is None else bound_by
+    if max_rows > 0 and has_at_most(proof, max_rows):
         return F.broadcast(df)
     return df
 
