@@ -29,6 +29,20 @@ def duplicate_profile(df: DataFrame, key: str, exact: bool = True) -> DataFrame:
     ).withColumn("duplicate_rows", F.col("rows_total") - F.col(f"distinct_{key}s"))
 
 
+def feed_profile(df: DataFrame, key: str, null_cols: list[str]) -> DataFrame:
+    """Null counts, row count, distinct keys and surplus rows in one job.
+
+    The reference profiles a feed in several passes; here one aggregate does
+    it (Spark plans the distinct count as a second aggregation level over
+    the key, with the other counts carried through it).
+    """
+    return df.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols],
+        F.count(F.lit(1)).alias("rows_total"),
+        F.countDistinct(key).alias(f"distinct_{key}s"),
+    ).withColumn("duplicate_rows", F.col("rows_total") - F.col(f"distinct_{key}s"))
+
+
 def distribution(df: DataFrame, col: str, name: str = "alarms") -> DataFrame:
     """Rows per value, most frequent first; null is a group of its own."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), F.asc_nulls_first(col))

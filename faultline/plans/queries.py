@@ -197,6 +197,11 @@ def q_duplicate_profile(L: Layers) -> DataFrame:
     return P.duplicate_profile(L.alarms(), "alarm_id")
 
 
+@register("feed_profile")
+def q_feed_profile(L: Layers) -> DataFrame:
+    return P.feed_profile(L.alarms(), "alarm_id", ["site_id", "severity"])
+
+
 @register("severity_distribution")
 def q_severity_distribution(L: Layers) -> DataFrame:
     return P.distribution(L.alarms(), "severity")
