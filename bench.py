@@ -38,8 +38,7 @@ HEADLINE = [
     "alarm_forecast",
     "silver_validation",
     "gold_validation",
-    "null_profile",
-    "duplicate_profile",
+    "feed_profile",
     "silver_rejects",
     "table_usage",
     "lineage_upstream",
