@@ -120,13 +120,21 @@ def check_schema(df: DataFrame, schema: T.StructType, name: str = "frame") -> Da
     for field in schema.fields:
         if field.name not in have:
             problems.append(f"missing {field.name}")
-        elif have[field.name] != field.dataType:
+        elif have[field.name] != field.dataType and not _compatible(have[field.name], field.dataType):
             problems.append(f"{field.name}: {have[field.name].simpleString()} != {field.dataType.simpleString()}")
     if problems:
         raise SchemaMismatch(f"{name}: " + "; ".join(problems))
     return df
 
 
+_TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
+
+
+def _compatible(have: T.DataType, want: T.DataType) -> bool:
+    """Zoned and zone-less timestamps are interchangeable (read in a UTC session)."""
+    return isinstance(have, _TIMESTAMPS) and isinstance(want, _TIMESTAMPS)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns in declared order, casting where needed."""
     return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from faultline.schemas import check_schema
+from faultline.schemas import check_schema, conform
 
 # The driver's input tables, one Parquet file each.
 DRIVER_TABLES = (
@@ -39,12 +39,13 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType | None = None
     """Scan a Parquet directory or file; with ``schema`` the footer is checked against it.
 
     The declared schema is checked rather than imposed so a type drift in
-    the feed fails loudly instead of becoming nulls.
+    the feed fails loudly instead of becoming nulls; zoned timestamps are
+    accepted and cast to the declared zone-less type.
     """
     df = spark.read.parquet(path)
     if schema is not None:
         check_schema(df, schema, path)
-        df = df.select([f.name for f in schema.fields])
+        df = conform(df, schema)
     return df
 
 
