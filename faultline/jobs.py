@@ -12,15 +12,20 @@ replaces both tables (drop and recreate).
 from __future__ import annotations
 
 import argparse
+import os
+import sys
 
-from pyspark.sql import DataFrame, SparkSession
+if __package__ in (None, ""):  # run as a file by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from faultline.operators.medallion import build_gold, build_silver
-from faultline.operators.metrics import worst_sites
-from faultline.plans.pipeline import publish_layer
-from faultline.schemas import ALARMS, SITES
-from faultline.session import apply_sql_conf, ensure_checkpoint_dir
-from faultline.sources.tables import read_feed
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from faultline.operators.medallion import build_gold, build_silver  # noqa: E402
+from faultline.operators.metrics import worst_sites  # noqa: E402
+from faultline.plans.pipeline import publish_layer  # noqa: E402
+from faultline.schemas import ALARMS, SITES  # noqa: E402
+from faultline.session import apply_sql_conf, ensure_checkpoint_dir  # noqa: E402
+from faultline.sources.tables import read_feed  # noqa: E402
 
 
 def build_medallion(

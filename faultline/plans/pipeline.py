@@ -78,7 +78,10 @@ def publish_layer(
     Silver is published bucketed by ``alarm_id`` with as many buckets as
     shuffle partitions: the deduplication already hash-partitioned the rows
     that way, so the write adds no shuffle, and later aggregations or joins
-    on ``alarm_id`` read the buckets without an exchange.
+    on ``alarm_id`` read the buckets without an exchange. ``alarm_id`` is
+    unique in Silver, so the buckets stay even; a skewed key such as
+    ``site_id`` would make one bucket, and so one reading task, hold a hot
+    site's rows.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
