@@ -4,15 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW_ID = "_row_id"
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    """Maps cannot be ordered (nor arrays or structs that hold one)."""
+    if isinstance(dtype, T.MapType):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def _ordering(df: DataFrame, keys: list[str], order: list[str | Column], tiebreak: bool) -> list[Column]:
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     if tiebreak:
         named = {c for c in order if isinstance(c, str)} | set(keys)
-        cols += [F.col(c).asc_nulls_first() for c in df.columns if c not in named]
+        cols += [
+            F.col(f.name).asc_nulls_first()
+            for f in df.schema.fields
+            if f.name not in named and _orderable(f.dataType)
+        ]
     return cols
 
 

@@ -14,6 +14,7 @@ DEFAULT_BROADCAST_MAX_ROWS = 500_000
 # semantic plan hash and its input files (new or replaced files give a new
 # key, so a grown table is checked again).
 _SIZE_CHECKS: dict[tuple, bool] = {}
+_SIZE_CHECKS_MAX = 4096
 
 
 def _check_key(df: DataFrame, max_rows: int) -> tuple | None:
@@ -44,6 +45,8 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
         return _SIZE_CHECKS[key]
     answer = df.count() <= max_rows
     if key is not None:
+        if len(_SIZE_CHECKS) >= _SIZE_CHECKS_MAX:
+            _SIZE_CHECKS.clear()
         _SIZE_CHECKS[key] = answer
     return answer
 

@@ -219,3 +219,12 @@ def test_hot_site_on_the_sort_merge_path_matches_broadcast(spark):
     gold = {r.site_id: r.total_alarms for r in build_gold(shuffled).collect()}
     # the HOT alarm (one row after dedupe) plus every 50th of the other ids
     assert gold["SITE-00000"] == 1 + sum(1 for i in range(hot, n) if i % 50 == 0)
+
+
+def test_dedupe_tiebreak_skips_unorderable_columns(spark):
+    from faultline.operators.dedupe import dedupe_first
+
+    df = spark.createDataFrame(
+        [("a", 1, {"k": "x"}), ("a", 1, {"k": "y"}), ("b", 2, {"k": "z"})], "id string, t int, m map<string,string>"
+    )
+    assert dedupe_first(df, "id", ["t"]).count() == 2
