@@ -92,3 +92,41 @@ def test_silver_and_gold_match_brute_force(spark, rows):
         for r in gold.collect()
     }
     assert got_gold == want_gold
+
+
+def brute_force_rejects(rows):
+    out = []
+    by_id = {}
+    for r in sorted(rows, key=_sort_key):
+        by_id.setdefault(r["alarm_id"], []).append(r)
+    for group in by_id.values():
+        for i, r in enumerate(group):
+            reasons = []
+            if i > 0:
+                reasons.append("first_copy_of_alarm")
+            if r["site_id"] is None:
+                reasons.append("site_id_not_null")
+            if r["severity"] is None:
+                reasons.append("severity_not_null")
+            if r["site_id"] is not None and r["site_id"] not in SITE_IDS:
+                reasons.append("site_known")
+            if reasons:
+                out.append((r["alarm_id"], r["site_id"], r["severity"], r["raised_ts"], ",".join(reasons)))
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=feeds())
+def test_rejects_match_brute_force(spark, rows):
+    from faultline.operators.quality import silver_rejects
+
+    alarms = frame(spark, rows, ALARMS)
+    sites = frame(spark, [site(s) for s in SITE_IDS], SITES)
+    got = sorted(
+        (
+            (r.alarm_id, r.site_id, r.severity, r.raised_ts, ",".join(r.reasons))
+            for r in silver_rejects(alarms, sites).collect()
+        ),
+        key=repr,
+    )
+    assert got == brute_force_rejects(rows)
