@@ -30,9 +30,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# The driver's tables are read-only, so their (lazy) frames are kept per
+# session and path: later queries skip the footer-reading job and the
+# size-check memo sees the same plans. Feeds read with ``read_feed`` are
+# never cached, since they may change between runs.
+_DRIVER_FRAMES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables (``region`` ... ``conversations``)."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _DRIVER_FRAMES:
+        _DRIVER_FRAMES[key] = spark.read.parquet(path)
+    return _DRIVER_FRAMES[key]
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
