@@ -17,7 +17,14 @@ from faultline.operators.quality import validate_silver
 from faultline.plans.pipeline import Layers, publish_layer
 from faultline.sources.sinks import write_feed
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
+FORBIDDEN = (
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "PythonUDF",
+    "SortAggregate",
+)
 
 
 def plan_of(df, mode: str = "simple") -> str:
