@@ -1,9 +1,11 @@
-"""Lazy wiring of the layers for one input folder.
-
-``Layers`` builds each layer once as a lazy DataFrame; nothing runs until
-an action. ``materialize`` writes a layer to the shared checkpoint folder and
-reads it back, which is how Silver and Gold are published between jobs
-(the benchmark does this, as the reference's CTAS does).
+"""Wiring of the layers for one input folder, and their publication.
+
+``Layers`` builds each layer once as a lazy DataFrame; the only jobs run
+while building are the small row-count checks behind a broadcast.
+``publish_layer`` (a catalog table) and ``materialize`` (plain Parquet)
+write a layer to the shared checkpoint folder and read it back, which is
+how Silver and Gold are published between jobs, as the reference's CTAS
+does; ``Layers.use`` then points later queries at the published copies.
 """
 
 from __future__ import annotations
