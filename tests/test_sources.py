@@ -105,3 +105,17 @@ def test_generators_are_reproducible(spark):
 def test_events_drive_generator(spark):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     assert GEN.generate_alarms(events, 1000, "event_id").count() == events.count()
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark, layers_small):
+    from faultline.plans.pipeline import materialize
+    from faultline.session import ensure_checkpoint_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert ensure_checkpoint_dir(spark) == configured  # never replaced once set
+    from urllib.parse import urlparse
+
+    out = materialize(layers_small.sites(), "sites_probe")
+    prefix = urlparse(configured).path.rstrip("/") + "/faultline/sites_probe-"
+    assert out.inputFiles() and all(urlparse(f).path.startswith(prefix) for f in out.inputFiles())
+    assert out.count() == 150
