@@ -156,12 +156,34 @@ def daily_critical_trend(silver: DataFrame) -> DataFrame:
     return daily_counts(silver, CRITICAL, "critical_alarms")
 
 
-def daily_alarms(silver: DataFrame, group_col: str | None = None) -> DataFrame:
-    """The forecast input ``(ds, alarm_count)``, ``ds`` the day as a timestamp."""
+def daily_alarms(silver: DataFrame, group_col: str | None = None, fill_gaps: bool = False) -> DataFrame:
+    """The forecast input ``(ds, alarm_count)``, ``ds`` the day as a timestamp.
+
+    Days without an alarm are absent unless ``fill_gaps``, which adds them
+    with a zero count between each series' first and last day.
+    """
     keys = ["event_date"] + ([group_col] if group_col else [])
     counts = silver.groupBy(*keys).agg(F.count(F.lit(1)).alias("alarm_count"))
     head = [group_col] if group_col else []
-    return counts.select(*head, F.col("event_date").cast("timestamp_ntz").alias("ds"), "alarm_count")
+    daily = counts.select(*head, F.col("event_date").cast("timestamp_ntz").alias("ds"), "alarm_count")
+    return fill_daily_gaps(daily, "ds", "alarm_count", group_col) if fill_gaps else daily
+
+
+def fill_daily_gaps(daily: DataFrame, time_col: str, value_col: str, group_col: str | None = None) -> DataFrame:
+    """Every day between each series' first and last day, missing days at 0.
+
+    The day range comes from one min / max aggregate per series and
+    ``sequence`` + ``explode``; the counts are joined back on
+    ``(series, day)``, a key that never repeats.
+    """
+    keys = [group_col] if group_col else []
+    aggs = [F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi")]
+    bounds = daily.groupBy(*keys).agg(*aggs) if keys else daily.agg(*aggs)
+    days = bounds.select(
+        *keys, F.explode(F.sequence("_lo", "_hi", F.make_dt_interval(days=F.lit(1)))).alias(time_col)
+    )
+    filled = days.join(daily, [*keys, time_col], "left")
+    return filled.select(*keys, time_col, F.coalesce(F.col(value_col), F.lit(0)).cast("bigint").alias(value_col))
 
 
 def worst_site(gold: DataFrame) -> DataFrame:

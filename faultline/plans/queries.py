@@ -163,6 +163,11 @@ def q_daily_alarms(L: Layers) -> DataFrame:
     return M.daily_alarms(L.silver())
 
 
+@register("daily_alarms_filled")
+def q_daily_alarms_filled(L: Layers) -> DataFrame:
+    return M.daily_alarms(L.silver(), "region", fill_gaps=True)
+
+
 @register("worst_site_causes")
 def q_worst_site_causes(L: Layers) -> DataFrame:
     return M.worst_site_causes(L.silver(), L.gold())

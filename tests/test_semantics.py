@@ -115,6 +115,13 @@ def test_daily_series_keeps_gaps(spark):
     assert sorted(str(r.ds)[:10] for r in daily.collect()) == ["2024-01-01", "2024-01-03"]
 
 
+def test_fill_gaps_adds_missing_days_at_zero(spark):
+    rows = [alarm("A1", raised="2024-01-01 10:00:00"), alarm("A2", raised="2024-01-04 10:00:00")]
+    daily = M.daily_alarms(_silver(spark, rows, [site("SITE-00001")]), fill_gaps=True)
+    got = sorted((str(r.ds)[:10], r.alarm_count) for r in daily.collect())
+    assert got == [("2024-01-01", 1), ("2024-01-02", 0), ("2024-01-03", 0), ("2024-01-04", 1)]
+
+
 def test_distribution_keeps_null_group(spark):
     from faultline.operators.profile import distribution
 
