@@ -62,11 +62,12 @@ def score_answers(
 
     ``truths(case_id, truth)``; ``answers(case_id, round, answer_text,
     first_row_text)``. The haystack is the text and the first result row
-    joined by a space (nulls skipped). An empty truth is an error upstream;
-    here a null truth never passes.
+    joined by a space (nulls skipped). Where the reference would stop on a
+    case without a truth, here the answer is kept with a null truth and
+    ``passed = false``, so no answer silently disappears.
     """
     hay = F.concat_ws(" ", F.col("answer_text"), F.col("first_row_text"))
-    joined = answers.join(bounded_broadcast(truths, max_broadcast_rows), "case_id", "inner")
+    joined = answers.join(bounded_broadcast(truths, max_broadcast_rows), "case_id", "left")
     return joined.select(
         "case_id",
         "round",

@@ -114,9 +114,11 @@ def test_grading_rules(spark):
         ],
         ANSWERS,
     )
-    got = {r.case_id: (r.passed, r.answer_excerpt) for r in GR.score_answers(truths, answers).collect()}
+    answers = answers.unionByName(spark.createDataFrame([(4, 1, "anything", None)], ANSWERS))
+    got = {r.case_id: (r.passed, r.answer_excerpt, r.truth) for r in GR.score_answers(truths, answers).collect()}
     assert got[1][0] is True and got[2][0] is True and got[3][0] is False
     assert got[3][1] == "SELECT x FROM t"
+    assert got[4] == (False, "anything", None)  # no truth: kept, not passed
 
 
 def _daily(spark, counts):
