@@ -80,3 +80,13 @@ def test_worst_site_join_broadcasts_one_row(layers_small):
     plan = plan_of(M.worst_site_causes(layers_small.silver(), layers_small.gold()))
     assert "TakeOrderedAndProject(limit=1" in plan
     assert "BroadcastExchange" in plan
+
+
+def test_date_partitioned_silver_prunes_partitions(spark, layers_small):
+    from pyspark.sql import functions as F
+
+    silver = publish_layer(Layers(spark, SF_SMALL).silver(), "silver_by_date_test", partition_by=["event_date"])
+    recent = silver.where(F.col("event_date") >= "2024-01-25")
+    plan = plan_of(M.daily_critical_trend(recent))
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-25" in plan
+    assert recent.count() == layers_small.silver().where(F.col("event_date") >= "2024-01-25").count()
