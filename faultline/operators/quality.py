@@ -129,6 +129,21 @@ def validate_silver(raw: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
+def validate_sites(sites: DataFrame) -> DataFrame:
+    """One row: site rows, distinct ``site_id``s, surplus rows, rows without coordinates.
+
+    Silver joins alarms to sites on ``site_id`` and Gold groups by the site
+    attributes, both on the premise that ``site_id`` is unique in the
+    dimension; ``duplicate_site_ids`` must be 0 for that to hold.
+    """
+    return sites.agg(
+        F.count(F.lit(1)).alias("site_rows"),
+        F.countDistinct("site_id").alias("distinct_sites"),
+        (F.count(F.lit(1)) - F.countDistinct("site_id")).alias("duplicate_site_ids"),
+        F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()).alias("null_coords"),
+    )
+
+
 def validate_gold(gold: DataFrame) -> DataFrame:
     """One row: site rows, distinct sites, rows without coordinates."""
     return gold.agg(

@@ -257,6 +257,11 @@ def q_silver_validation(L: Layers) -> DataFrame:
     return Q.validate_silver(L.alarms(), L.silver())
 
 
+@register("sites_validation")
+def q_sites_validation(L: Layers) -> DataFrame:
+    return Q.validate_sites(L.sites())
+
+
 @register("gold_validation")
 def q_gold_validation(L: Layers) -> DataFrame:
     return Q.validate_gold(L.gold())

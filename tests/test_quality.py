@@ -18,6 +18,14 @@ def test_silver_invariants_on_fixture(layers_small):
     assert v.silver_rows < v.raw_alarm_rows
 
 
+def test_sites_dimension_has_unique_ids(layers_small, spark):
+    v = Q.validate_sites(layers_small.sites()).collect()[0]
+    assert (v.site_rows, v.distinct_sites, v.duplicate_site_ids, v.null_coords) == (150, 150, 0, 0)
+    dup = frame(spark, [site("S1"), site("S1", lat=None)], SITES)
+    d = Q.validate_sites(dup).collect()[0]
+    assert (d.duplicate_site_ids, d.null_coords) == (1, 1)
+
+
 def test_gold_invariants_on_fixture(layers_small):
     g = Q.validate_gold(layers_small.gold()).collect()[0]
     assert g.site_rows == g.distinct_sites == 15
