@@ -226,6 +226,11 @@ def q_preview_alarms(L: Layers) -> DataFrame:
     return preview(L.alarms(), 20, ALARM_COLUMNS)
 
 
+@register("preview_sites")
+def q_preview_sites(L: Layers) -> DataFrame:
+    return preview(L.sites(), 20, ["site_id"])
+
+
 @register("join_preview")
 def q_join_preview(L: Layers) -> DataFrame:
     """Alarms joined to sites before deduplication (what Silver roughly holds)."""
