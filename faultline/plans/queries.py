@@ -23,7 +23,7 @@ from faultline.plans.pipeline import Layers
 from faultline.schemas import ALARM_COLUMNS
 from faultline.sources import generate as GEN
 from faultline.sources.fixtures import AUDIT_AS_OF, AUDIT_TABLE
-from faultline.sources.tables import preview
+from faultline.sources.tables import preview, table_path
 
 # Parameters of the registered reports.
 FORECAST_DAYS = 7
@@ -323,7 +323,7 @@ def q_usage_notices(L: Layers) -> DataFrame:
 
 @register("table_file_stats")
 def q_table_file_stats(L: Layers) -> DataFrame:
-    return G.table_file_stats(L.feeds.table("events"))
+    return G.table_file_stats(L.spark, table_path(L.sf_dir, "events"))
 
 
 # ---- forecast --------------------------------------------------------------

@@ -76,8 +76,18 @@ def test_lineage_both_directions(spark):
 
 
 def test_table_file_stats(spark):
-    stats = G.table_file_stats(spark.read.parquet(f"{SF_SMALL}/events.parquet")).collect()[0]
-    assert stats.num_files == 1 and stats.size_in_bytes > 0
+    import os
+    import tempfile
+
+    path = f"{SF_SMALL}/events.parquet"
+    stats = G.table_file_stats(spark, path).collect()[0]
+    assert (stats.num_files, stats.size_in_bytes) == (1, os.path.getsize(path))
+    # a partitioned table: files in sub-folders are counted, other files are not
+    out = tempfile.mkdtemp(prefix="stats-")
+    spark.read.parquet(path).write.partitionBy("event_type").parquet(os.path.join(out, "t"))
+    parts = [os.path.join(r, f) for r, _, fs in os.walk(os.path.join(out, "t")) for f in fs if f.endswith(".parquet")]
+    stats = G.table_file_stats(spark, os.path.join(out, "t")).collect()[0]
+    assert (stats.num_files, stats.size_in_bytes) == (len(parts), sum(os.path.getsize(p) for p in parts))
 
 
 def test_grading_on_nation_cases(spark):
