@@ -12,7 +12,8 @@ DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 # Answers of earlier size checks in this process, keyed by the frame's
 # semantic plan hash and its input files (new or replaced files give a new
-# key, so a grown table is checked again).
+# key, so a grown table is checked again). Only dimension-side frames are
+# checked, so their file lists are short.
 _SIZE_CHECKS: dict[tuple, bool] = {}
 _SIZE_CHECKS_MAX = 4096
 
