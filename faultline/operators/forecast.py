@@ -41,6 +41,7 @@ def fit_trend(
         F.regr_sxy(y, x).alias("_sxy"),
         F.regr_sxx(y, x).alias("_sxx"),
         F.regr_count(y, x).alias("_n"),
+        F.avg(y).alias("_ybar"),
         F.max(time_col).alias("_last"),
         F.max_by(F.col(value_col), F.col(time_col)).alias("_last_value"),
     ]
@@ -53,8 +54,9 @@ def fit_trend(
     sd = F.when(F.col("_n") > 2, F.sqrt(sse / (F.col("_n") - 2))).otherwise(F.lit(0.0))
     return fit.select(
         *keys,
+        # one distinct day: no slope; the forecast is flat at the mean
         F.coalesce(F.col("_slope"), F.lit(0.0)).alias("_slope"),
-        F.coalesce(F.col("_intercept"), F.lit(0.0)).alias("_intercept"),
+        F.coalesce(F.col("_intercept"), F.col("_ybar"), F.lit(0.0)).alias("_intercept"),
         sd.alias("_sd"),
         "_last",
         "_last_value",

@@ -130,3 +130,33 @@ def test_rejects_match_brute_force(spark, rows):
         key=repr,
     )
     assert got == brute_force_rejects(rows)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    counts=st.lists(st.integers(0, 500), min_size=3, max_size=40),
+    gaps=st.sets(st.integers(1, 38), max_size=6),
+    horizon=st.integers(1, 10),
+)
+def test_forecast_matches_numpy_least_squares(spark, counts, gaps, horizon):
+    import numpy as np
+
+    from faultline.operators.forecast import forecast
+
+    days = [i for i in range(len(counts)) if i not in gaps] or [0]
+    rows = [(BASE + dt.timedelta(days=i), counts[i]) for i in days]
+    daily = spark.createDataFrame(rows, "ds timestamp_ntz, alarm_count long")
+    got = {r.ds: r.alarm_count_forecast for r in forecast(daily, "ds", "alarm_count", horizon_days=horizon).collect()}
+
+    epoch = dt.datetime(1970, 1, 1)
+    x = np.array([(BASE + dt.timedelta(days=i) - epoch).days for i in days], dtype=float)
+    y = np.array([counts[i] for i in days], dtype=float)
+    slope, intercept = np.polyfit(x, y, 1) if len(set(x)) > 1 else (0.0, float(y.mean()))
+    last = BASE + dt.timedelta(days=days[-1])
+    want = {}
+    for k in range(1, horizon + 1):
+        d = last + dt.timedelta(days=k)
+        want[d] = max(0.0, intercept + slope * (d - epoch).days)
+    assert set(got) == set(want)
+    for d, v in want.items():
+        assert abs(got[d] - v) < 1e-3, (d, got[d], v)
