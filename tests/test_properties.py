@@ -160,3 +160,49 @@ def test_forecast_matches_numpy_least_squares(spark, counts, gaps, horizon):
     assert set(got) == set(want)
     for d, v in want.items():
         assert abs(got[d] - v) < 1e-3, (d, got[d], v)
+
+
+REGIONS = {"SITE-00000": "East", "SITE-00001": "East", "SITE-00002": "West", "SITE-00003": "North"}
+VENDORS = {"SITE-00000": "V1", "SITE-00001": "V2", "SITE-00002": "V1", "SITE-00003": "V2"}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=feeds())
+def test_region_and_vendor_metrics_match_brute_force(spark, rows):
+    from faultline.operators import metrics as M
+
+    sites = frame(spark, [site(s, REGIONS[s], VENDORS[s]) for s in SITE_IDS], SITES)
+    silver = build_silver(frame(spark, rows, ALARMS), sites)
+    gold = build_gold(silver)
+    _, want_gold = brute_force(rows)
+
+    # mean of site means, as published (sites without alarms have no Gold row)
+    per_region: dict[str, list] = {}
+    for s, (n, crit, active, mttr, _score) in want_gold.items():
+        per_region.setdefault(REGIONS[s], []).append((n, crit, active, mttr))
+    want_roll = {}
+    for region, vals in per_region.items():
+        means = [m for *_, m in vals if m is not None]
+        want_roll[region] = (
+            len(vals),
+            sum(v[1] for v in vals),
+            sum(v[2] for v in vals),
+            _half_up(sum(means) / len(means), 1) if means else None,
+        )
+    got_roll = {r.region: (r.sites, r.critical_alarms, r.active_alarms, r.avg_mttr) for r in M.region_rollup(gold).collect()}
+    assert got_roll == want_roll
+
+    # alarm-level MTTR per vendor, from Silver rows
+    silver_rows = silver.select("vendor", "time_to_clear_min").collect()
+    by_vendor: dict[str, list] = {}
+    for r in silver_rows:
+        if r.time_to_clear_min is not None:
+            by_vendor.setdefault(r.vendor, []).append(r.time_to_clear_min)
+    want_mttr = {v: _half_up(sum(t) / len(t), 1) for v, t in by_vendor.items()}
+    assert {r.vendor: r.mttr_min for r in M.mttr_by(silver, "vendor").collect()} == want_mttr
+
+    # active share: ratio of sums per region, rounded to 3
+    want_share = {}
+    for region, vals in per_region.items():
+        want_share[region] = _half_up(sum(v[2] for v in vals) / sum(v[0] for v in vals), 3)
+    assert {r.region: r.active_share for r in M.active_share(gold).collect()} == want_share
