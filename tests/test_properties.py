@@ -206,3 +206,55 @@ def test_region_and_vendor_metrics_match_brute_force(spark, rows):
     for region, vals in per_region.items():
         want_share[region] = _half_up(sum(v[2] for v in vals) / sum(v[0] for v in vals), 3)
     assert {r.region: r.active_share for r in M.active_share(gold).collect()} == want_share
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    events=st.lists(
+        st.tuples(
+            st.sampled_from(["a@x", "b@x", "c@x"]),
+            st.sampled_from(["unityCatalog", "jobs"]),
+            st.sampled_from(["getTable", "generateTemporaryTableCredential", "deleteTable"]),
+            st.sampled_from(["main.net.gold", "main.net.silver"]),
+            st.integers(0, 60),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_table_usage_matches_brute_force(spark, events):
+    from faultline.operators.governance import table_usage
+    from faultline.schemas import AUDIT
+
+    as_of = dt.datetime(2024, 3, 1)
+    data = [({"email": e}, svc, act, {"full_name_arg": t}, as_of - dt.timedelta(days=d, hours=1)) for e, svc, act, t, d in events]
+    audit = spark.createDataFrame(data, AUDIT)
+    got = {r.user_email: (r.access_count, r.first_access, r.last_access) for r in table_usage(audit, "main.net.gold", as_of, 30).collect()}
+    want: dict[str, list] = {}
+    for (email,), svc, act, params, ts in [((d[0]["email"],), d[1], d[2], d[3], d[4]) for d in data]:
+        if svc == "unityCatalog" and act in ("getTable", "generateTemporaryTableCredential") and params["full_name_arg"] == "main.net.gold" and ts > as_of - dt.timedelta(days=30):
+            want.setdefault(email, []).append(ts)
+    assert got == {e: (len(t), min(t), max(t)) for e, t in want.items()}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    cases=st.lists(
+        st.tuples(st.text("abAB_1 ", min_size=1, max_size=6), st.text("abAB_1 ", max_size=12), st.none() | st.text("aB1 ", max_size=6)),
+        min_size=1,
+        max_size=15,
+    )
+)
+def test_grading_matches_python_containment(spark, cases):
+    from faultline.operators.grading import round_score, score_answers
+    from faultline.schemas import ANSWERS, TRUTHS
+
+    truths = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], TRUTHS)
+    answers = spark.createDataFrame([(i, 1, a, f) for i, (_, a, f) in enumerate(cases)], ANSWERS)
+    got = {r.case_id: r.passed for r in score_answers(truths, answers).collect()}
+    want = {
+        i: t.lower() in " ".join(x for x in (a, f) if x is not None).lower() for i, (t, a, f) in enumerate(cases)
+    }
+    assert got == want
+    score = round_score(score_answers(truths, answers)).collect()[0]
+    assert (score.correct, score.total) == (sum(want.values()), len(cases))
