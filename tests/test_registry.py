@@ -13,6 +13,10 @@ from faultline.sources.tables import DRIVER_TABLES, table_path
 
 NAMES = sorted(E.queries())
 
+# Spark simple type name -> DuckDB type name
+TYPE_TWINS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
 
 def _canon(v):
     if isinstance(v, float):
@@ -60,4 +64,6 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(sql)
     d_cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(d_cols)
+    duck_types = {c[0]: str(c[1]).upper() for c in cur.description}
+    assert {n: TYPE_TWINS.get(t, t) for n, t in df.dtypes} == duck_types
     assert s_rows == _rows(d_cols, cur.fetchall())
