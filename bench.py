@@ -106,7 +106,7 @@ def run_steps(spark, sf_dir: str) -> dict[str, float]:
     times["build_silver"] = time.perf_counter() - t0
 
     t0 = time.perf_counter()
-    gold = publish_layer(build_gold(silver), "gold_site_health")
+    gold = publish_layer(build_gold(silver, sites=layers.sites()), "gold_site_health")
     times["build_gold"] = time.perf_counter() - t0
     layers.use(silver=silver, gold=gold)
 

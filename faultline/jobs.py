@@ -43,7 +43,7 @@ def build_medallion(
     sites = read_feed(spark, sites_path, SITES)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     silver = publish_layer(build_silver(alarms, sites), silver_table, bucket_by=(n, "alarm_id"))
-    gold = publish_layer(build_gold(silver), gold_table)
+    gold = publish_layer(build_gold(silver, sites=sites), gold_table)
     return silver, gold
 
 

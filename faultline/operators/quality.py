@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from faultline.operators.dedupe import flag_first, with_row_id
 from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
-from faultline.schemas import ALARM_COLUMNS, SITE_ATTRIBUTES
+from faultline.operators.medallion import site_dimension
+from faultline.schemas import ALARM_COLUMNS
 
 REASONS = "reasons"
 
@@ -79,9 +80,10 @@ def tag_silver_contract(
     """
     raw = with_row_id(alarms.select(*ALARM_COLUMNS))
     flagged = flag_first(raw, "alarm_id", ["raised_ts"], flag="_first")
-    site_dim = sites.select("site_id", *SITE_ATTRIBUTES)
     known = bounded_broadcast(
-        sites.select("site_id").distinct().withColumn("_known", F.lit(True)), max_broadcast_rows, bound_by=site_dim
+        sites.select("site_id").distinct().withColumn("_known", F.lit(True)),
+        max_broadcast_rows,
+        bound_by=site_dimension(sites),
     )
     tagged = flagged.join(known, "site_id", "left")
     predicates = [

@@ -41,7 +41,7 @@ class Layers:
 
     def gold(self) -> DataFrame:
         if self._gold is None:
-            self._gold = build_gold(self.silver())
+            self._gold = build_gold(self.silver(), sites=self.sites())
         return self._gold
 
     def use(self, silver: DataFrame | None = None, gold: DataFrame | None = None) -> "Layers":

@@ -84,6 +84,13 @@ def test_gold_schema(spark):
     assert [(f.name, f.dataType) for f in gold.schema.fields] == [(f.name, f.dataType) for f in GOLD.fields]
 
 
+def test_gold_with_dimension_equals_gold_from_silver_alone(layers_small):
+    silver, sites = layers_small.silver(), layers_small.sites()
+    alone, with_dim = build_gold(silver), build_gold(silver, sites=sites)
+    assert with_dim.schema == alone.schema
+    assert with_dim.exceptAll(alone).count() == 0 and alone.exceptAll(with_dim).count() == 0
+
+
 def test_sites_without_alarms_have_no_gold_row(spark):
     gold = build_gold(_silver(spark, [alarm("A1")], [site("SITE-00001"), site("SITE-00002")]))
     assert [r.site_id for r in gold.collect()] == ["SITE-00001"]
