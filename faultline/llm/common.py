@@ -37,8 +37,12 @@ def word_array(text: Column) -> Column:
     return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, f"[{BLANK_CLASS}]+"))
 
 
+def without(text: Column, pattern: str) -> Column:
+    """How many characters stay when matches of ``pattern`` go (faster than ``translate``)."""
+    return F.length(F.regexp_replace(text, pattern, ""))
+
+
 def word_count(text: Column) -> Column:
-    """How many words; for one word, blanks inside decide, so only the gaps are counted."""
     return F.size(word_array(text)).cast("bigint")
 
 

@@ -19,9 +19,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import BLANKS, cut, materialised, word_array
+from faultline.llm.common import BLANK_CLASS, BLANKS, cut, materialised, without, word_array
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 RULES = ("symbols", "dup_lines", "repeats", "marks", "capitals")
 STEPS = 50
 RISK = 0.02
@@ -30,10 +30,6 @@ MAX_TERMS = 4000
 SMALL_ROWS = 100_000
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
-
-
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """Per row: ``doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_lines, n_marks, n_capitals``. A null text has none of anything."""
@@ -49,12 +45,12 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     rows = materialised(rows, "lines", F.filter(F.split("t", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
     t, length = F.col("t"), F.length("t")
     return rows.select(
-        "doc_id", "stratum", n.cast("bigint").alias("n_words"), _without(t, BLANKS).cast("bigint").alias("word_chars"),
-        (length - _without(t, SYMBOLS)).cast("bigint").alias("n_symbols"),
+        "doc_id", "stratum", n.cast("bigint").alias("n_words"), without(t, f"[{BLANK_CLASS}]").cast("bigint").alias("word_chars"),
+        (length - without(t, SYMBOLS)).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _covered("h").cast("bigint").alias("n_repeat_words"), F.size("lines").alias("n_lines"),
-        (length - _without(t, "!")).alias("n_marks"),
-        (length - F.length(F.regexp_replace(t, r"\p{Lu}", ""))).alias("n_capitals"),
+        (length - without(t, "!")).alias("n_marks"),
+        (length - without(t, r"\p{Lu}")).alias("n_capitals"),
     )
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import BLANKS, cut, materialised, word_array
+from faultline.llm.common import BLANK_CLASS, BLANKS, cut, materialised, without, word_array
 
 # Labeller: measure, bad from here on, good up to here (the last is turned round).
 LABELLERS = (
@@ -49,13 +49,13 @@ def votes(docs: DataFrame, text_col: str) -> DataFrame:
     rows = materialised(docs.withColumn("_t", text), "_w", word_array(F.col("_t")))
     rows = rows.withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
     t, n = F.col("_t"), F.greatest(F.size("_w"), F.lit(1))
-    count = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
+    count = lambda pattern: F.length(t) - without(t, pattern)
     echo = F.zip_with("_w", F.expr("slice(_w, 2, greatest(size(_w), 1))"), lambda a, b: F.when(a == b, F.lit(1)))
     lines = F.greatest(F.size("_l"), F.lit(1))
     of: dict[str, Column] = {
-        "symbols": count("#*$%&|<>") / n,
+        "symbols": count("[#*$%&|<>]") / n,
         "marks": count("!") / n,
-        "capitals": (F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}", ""))) / F.greatest(F.length(F.translate(t, BLANKS, "")), F.lit(1)),
+        "capitals": count(r"\p{Lu}") / F.greatest(without(t, f"[{BLANK_CLASS}]"), F.lit(1)),
         "echoes": F.size(F.array_compact(echo)) / n,
         "dup_lines": 1 - F.size(F.array_distinct("_l")) / lines,
         "sameness": 1 - F.size(F.array_distinct("_w")) / n,
