@@ -30,7 +30,9 @@ from faultline.llm.common import cut, partitions
 
 SEQUENCE = 2048
 END_ID = 0
-MAX_WORDS = 400_000
+MAX_WORDS = 600_000
+# Fixed value: a special token of the tokenizer.
+BETWEEN = "<|startoftext|>"
 GROUP_CHARS = 1 << 20
 BUCKETS = 256
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -66,17 +68,27 @@ class WordTokenizer:
     def _forget(self) -> None:
         self.words, self.flat, self.ends = _Words(), np.empty(0, np.uint32), np.empty(0, np.int64)
 
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row and how many each has. The words are encoded as one
+        text, parted by a special token: the tokenizer treats what lies between as texts of
+        their own. Words that hold that token's name are encoded one by one."""
+        part = self.tokenizer.token_to_id(BETWEEN)
+        if part is None or any(BETWEEN in w for w in words):
+            made = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+            return np.array([i for x in made for i in x], np.uint32), np.array([len(x) for x in made], np.int64)
+        ids = np.array(self.tokenizer.encode_batch_fast([BETWEEN.join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = np.flatnonzero(ids == part)
+        return ids[ids != part], np.diff(np.r_[-1, cuts, len(ids)]) - 1
+
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.words) > MAX_WORDS:
             self._forget()
-        look = self.words.__getitem__
-        numbers = [np.array(list(map(look, (t or "").encode().split())), np.int64) for t in texts]
+        look, split = self.words.__getitem__, [(t or "").encode().split() for t in texts]
+        numbers = [np.fromiter(map(look, words), np.int64, len(words)) for words in split]
         if self.words.new:
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in self.words.new], add_special_tokens=False)
-            ids = [e.ids for e in made]
-            ends = np.cumsum([len(x) for x in ids]) + len(self.flat)
-            self.ends = np.r_[self.ends, ends]
-            self.flat = np.r_[self.flat, np.fromiter((i for x in ids for i in x), np.uint32)]
+            ids, n = self._encode([w.decode() for w in self.words.new])
+            self.ends = np.r_[self.ends, np.cumsum(n) + len(self.flat)]
+            self.flat = np.r_[self.flat, ids]
             self.words.new = []
         starts = np.r_[0, self.ends[:-1]] if len(self.ends) else self.ends
         out = []
