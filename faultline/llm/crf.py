@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faultline.llm.common import whole_row
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 LOCAL_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -390,14 +392,14 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_c
                 out.append("".join(made) + t[at:] if spans else t)
             yield pd.Series(out, dtype=object)
 
-    new = docs.withColumn("_clean", clean(F.col(text_col)))
+    new = docs.select(whole_row(docs), clean(F.col(text_col)).alias("_clean"))
     cols = []
     for c in docs.columns:
         if c == text_col:
             cols.append(F.col("_clean").alias(c))
         elif c == chars_col:
             length = F.length("_clean").cast(docs.schema[c].dataType)
-            cols.append(F.when(F.col(c).isNotNull(), length).alias(c))
+            cols.append(F.when(F.col("_row")[c].isNotNull(), length).alias(c))
         else:
-            cols.append(F.col(f"`{c}`"))
+            cols.append(F.col("_row")[c].alias(c))
     return new.select(*cols)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import cut, running, word_count
+from faultline.llm.common import cut, running, whole_row, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -134,6 +134,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: every row of ``docs`` as often as it is taken; columns as they were."""
     _, limits, small = _limits(docs, id_col, text_col, source_col)
     _, u = _sized(docs, id_col, text_col)
-    joined, copies = _copies(docs.withColumn("_u", u), limits, F.col(source_col), F.col("_u"), small)
-    repeated = joined.withColumn("_n", F.array_repeat(F.lit(0), copies))
-    return repeated.select(*docs.columns, F.explode("_n").alias("_n")).select(*docs.columns)
+    rows = docs.select(whole_row(docs), u.alias("u"), F.col(source_col).alias("source"))
+    joined, copies = _copies(rows, limits, F.col("source"), F.col("u"), small)
+    return joined.select("_row", F.explode(F.array_repeat(F.lit(0), copies))).select("_row.*")

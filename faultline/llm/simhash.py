@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import cut, partitions
+from faultline.llm.common import cut, partitions, whole_row
 from faultline.llm.components import components
 
 HASH_SEED = 42
@@ -237,5 +237,6 @@ def drop_near_duplicates(
     Of repeated rows with that id one stays. Columns and their order are those of ``docs``.
     """
     keep = near_duplicates(docs, shingle, max_bits, id_col, text_col).select(F.col("keep_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(text_col)))
-    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    key = F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(text_col))
+    keyed = docs.select(whole_row(docs), key.alias("_key"))
+    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")

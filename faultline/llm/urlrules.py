@@ -99,7 +99,9 @@ def judge_urls(rows: DataFrame, rules: DataFrame, url_col: str, default: str = "
     """
     kept = [c for c in rows.columns if c not in ("host", "path", "rule", "verdict")]
     url = F.col(url_col)
-    parts = rows.select(*kept, url_host(url).alias("host"), url_path(url).alias("path"))
+    # One column for all others, so names used here cannot clash with theirs.
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
+    parts = rows.select(row, url_host(url).alias("host"), url_path(url).alias("path"))
     parts = parts.withColumn("_key", host_key(F.col("host")))
     covered = cut(host_rules(parts.select(F.col("_key").alias("key")), rules), "url-rules")
     if covered.count() <= SMALL_ROWS:
@@ -108,5 +110,5 @@ def judge_urls(rows: DataFrame, rules: DataFrame, url_col: str, default: str = "
     joined = parts.join(covered.withColumnRenamed("key", "_key"), "_key", "left")
     best = F.array_max(F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"])))
     return joined.select(
-        *kept, "host", "path", best["rule"].alias("rule"), F.coalesce(best["verdict"], F.lit(default)).alias("verdict")
+        "_row.*", "host", "path", best["rule"].alias("rule"), F.coalesce(best["verdict"], F.lit(default)).alias("verdict")
     )

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import BLANK_CLASS, BLANKS, cut, materialised, without, word_array
+from faultline.llm.common import BLANK_CLASS, BLANKS, cut, materialised, whole_row, without, word_array
 
 # Labeller: measure, bad from here on, good up to here (the last is turned round).
 LABELLERS = (
@@ -214,4 +214,5 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows the classifier rejects; columns and order as they were."""
     model = train(docs, id_col, text_col)
-    return score(docs, model, text_col, "_p_bad").where(F.col("_p_bad") < REJECT_FROM).select(*docs.columns)
+    rows = docs.select(whole_row(docs), F.col(text_col).alias("text"))
+    return score(rows, model).where(F.col("p_bad") < REJECT_FROM).select("_row.*")
