@@ -8,6 +8,7 @@ as is, and only ``spark.checkpoint.dir`` is read from it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,34 +55,20 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_sql_conf(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
-# SQL settings that can be applied to a running session the library is handed.
-SQL_CONF_KEYS = (
-    "spark.sql.session.timeZone",
-    "spark.sql.autoBroadcastJoinThreshold",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold",
-    "spark.sql.adaptive.enabled",
-    "spark.sql.adaptive.skewJoin.enabled",
-)
-
-
-def apply_sql_conf(spark: SparkSession) -> None:
-    for key in SQL_CONF_KEYS:
-        spark.conf.set(key, BASE_CONF[key])
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only when the session has
-    none (a laptop or a test run) is a fresh scratch folder created and set.
+    Only a local session (a laptop, a test run) without one gets a scratch folder; on a cluster
+    a folder on the driver's disk would be out of the executors' reach, so this raises.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="faultline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -34,6 +34,9 @@ def publish(
     there (an external table, e.g. in the shared checkpoint folder).
     """
     spark = df.sparkSession
+    if bucket_by:
+        # One writing task per bucket, whatever the last shuffle was: as many files as buckets.
+        df = df.repartition(bucket_by[0], bucket_by[1])
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -58,12 +58,12 @@ def summarize(plan: str) -> dict[str, str]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from faultline.plans.queries import queries
 
     spark = build_session(extra_conf={"spark.ui.showConsoleProgress": "false"})
     cols = None
     print(f"# Executed plans ({os.path.basename(sf_dir)}, every query built from the raw driver tables)\n")
-    for name, fn in E.queries().items():
+    for name, fn in queries().items():
         s = summarize(final_plan(fn(spark, sf_dir)))
         if cols is None:
             cols = list(s)

@@ -9,9 +9,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from faultline.plans.oracle import oracle_sql
+from faultline.plans.queries import queries
 from faultline.sources.tables import DRIVER_TABLES, table_path
 
-NAMES = sorted(E.queries())
+NAMES = sorted(queries())
 
 # Spark simple type name -> DuckDB type name
 TYPE_TWINS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -48,16 +50,16 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    no_sql = set(E.queries()) - set(E.oracle_sql())
+    no_sql = set(queries()) - set(oracle_sql())
     assert no_sql == {"clear_time_summary", "table_file_stats"}
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = queries()[name](spark, SF_SMALL)
     s_rows = _rows(df.columns, [tuple(r) for r in df.collect()])
-    sql = E.oracle_sql().get(name)
+    sql = oracle_sql().get(name)
     if sql is None:
         assert len(s_rows) >= 1
         return

@@ -84,11 +84,16 @@ def test_gold_schema(spark):
     assert [(f.name, f.dataType) for f in gold.schema.fields] == [(f.name, f.dataType) for f in GOLD.fields]
 
 
-def test_gold_with_dimension_equals_gold_from_silver_alone(layers_small):
-    silver, sites = layers_small.silver(), layers_small.sites()
-    alone, with_dim = build_gold(silver), build_gold(silver, sites=sites)
-    assert with_dim.schema == alone.schema
-    assert with_dim.exceptAll(alone).count() == 0 and alone.exceptAll(with_dim).count() == 0
+def test_gold_is_one_row_per_site_with_max_attributes(spark):
+    doubled = [site("SITE-00001", region="R1"), site("SITE-00001", region="R2"), site("SITE-00002")]
+    silver = _silver(spark, [alarm("A1"), alarm("A2", site_id="SITE-00002")], doubled)
+    gold = {r.site_id: r for r in build_gold(silver).collect()}
+    assert len(gold) == 2 and gold["SITE-00001"].region == "R2" and gold["SITE-00001"].total_alarms == 2
+
+
+def test_gold_keeps_sites_that_left_the_dimension(spark):
+    published = _silver(spark, [alarm("A1")], [site("SITE-00001", region="old")])
+    assert [(r.site_id, r.region) for r in build_gold(published).collect()] == [("SITE-00001", "old")]
 
 
 def test_sites_without_alarms_have_no_gold_row(spark):
