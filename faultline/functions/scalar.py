@@ -15,11 +15,8 @@ SEVERITY_WEIGHTS = {"Critical": 10, "Major": 5, "Minor": 2}
 DEFAULT_SEVERITY_WEIGHT = 1
 CRITICAL = "Critical"
 
-# The modulus and multipliers of the reproducible pseudo-random
-# stream that replaces ``rand()`` (a Lehmer generator step, then a square).
-HASH_MODULUS = 2147483647
-HASH_MULTIPLIER = 48271
-HASH_STREAM_STEP = 7919
+# Hexadecimal digits of the digest behind one reproducible draw (52 bits fill a double).
+DRAW_DIGITS = 13
 
 
 def col_of(c: str | Column) -> Column:
@@ -56,14 +53,12 @@ def time_to_clear(raised: str | Column, cleared: str | Column) -> Column:
 def hashed_uniform(idx: str | Column, stream: int) -> Column:
     """Reproducible uniform number in [0, 1) for a row index and a stream id.
 
-    ``x = ((idx + 1) * 48271 + stream * 7919) mod (2^31 - 1)`` and
-    ``h = x * x mod (2^31 - 1)``, all in bigint, so any SQL engine gives the
-    same value. Different ``stream`` ids give independent-looking columns.
+    The leading digits of ``md5('<idx>:<stream>')`` as a fraction, so any SQL engine gives the
+    same value, draws of different streams are unrelated and the sequence does not repeat.
     """
-    i = col_of(idx).cast("bigint")
-    x = ((i + F.lit(1)) * F.lit(HASH_MULTIPLIER) + F.lit(stream * HASH_STREAM_STEP)) % F.lit(HASH_MODULUS)
-    h = (x * x) % F.lit(HASH_MODULUS)
-    return h.cast("double") / F.lit(float(HASH_MODULUS))
+    digest = F.md5(F.concat(col_of(idx).cast("bigint").cast("string"), F.lit(f":{stream}")).cast("binary"))
+    digits = F.conv(F.substring(digest, 1, DRAW_DIGITS), 16, 10).cast("bigint")
+    return digits.cast("double") / F.lit(float(16**DRAW_DIGITS))
 
 
 def pick(values: list, u: Column) -> Column:

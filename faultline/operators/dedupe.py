@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROW_ID = "_row_id"
-
 
 def _orderable(dtype: T.DataType) -> bool:
     """Maps cannot be ordered (nor arrays or structs that hold one)."""
@@ -51,26 +49,14 @@ def dedupe_first(
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Attach a unique row id.
-
-    The id is the partition index plus the position in the partition, so on
-    a file scan (fixed splits, fixed row order) a recomputed partition, for
-    example after a lost executor, gets the same ids, and two scans of the
-    same files agree.
-    """
-    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
-
-
 def flag_first(df: DataFrame, key: str, order: list[str | Column], flag: str = "is_first") -> DataFrame:
     """Every row of ``df``, with ``flag`` true on the row ``dedupe_first`` keeps.
 
-    A plain ``row_number`` over the whole key would stream a hot key through
-    one task. Instead the first rows are found with ``dedupe_first`` (pre-
-    reduced per map task) and matched back by a unique row id; the match is
-    an equi-join on a key that never repeats, so no task receives a hot group.
+    The other rows are ``df`` minus the first ones, as multisets (``exceptAll``): a count per
+    distinct whole row, combined in the map tasks. Verbatim copies of a hot key leave a task as one
+    row, and its differing rows spread over the tasks. No row ids are needed, so any input
+    will do; its columns must be comparable (no maps).
     """
-    tagged = df if ROW_ID in df.columns else with_row_id(df)
-    firsts = dedupe_first(tagged, key, order).select(F.col(ROW_ID), F.lit(True).alias(flag))
-    out = tagged.join(firsts, ROW_ID, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    return out if ROW_ID in df.columns else out.drop(ROW_ID)
+    first = dedupe_first(df, key, order)
+    rest = df.exceptAll(first)
+    return first.withColumn(flag, F.lit(True)).unionByName(rest.withColumn(flag, F.lit(False)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.scalar import contains_ignore_case, excerpt
 from faultline.operators import metrics as M
-from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from faultline.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, bounded_broadcast
 
 # The five graded questions (case id, question).
 BENCHMARK_QUESTIONS = [
@@ -56,7 +56,7 @@ def benchmark_truths(silver: DataFrame, gold: DataFrame) -> DataFrame:
 def score_answers(
     truths: DataFrame,
     answers: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """One row per (case, round): the truth, the pass flag and a short excerpt.
 
@@ -67,7 +67,7 @@ def score_answers(
     ``passed = false``, so no answer silently disappears.
     """
     hay = F.concat_ws(" ", F.col("answer_text"), F.col("first_row_text"))
-    joined = answers.join(bounded_broadcast(truths, max_broadcast_rows), "case_id", "left")
+    joined = answers.join(bounded_broadcast(truths, max_broadcast_bytes), "case_id", "left")
     return joined.select(
         "case_id",
         "round",

@@ -1,73 +1,43 @@
-"""Join helpers: broadcast only behind a proven row bound."""
+"""Join helpers: broadcast only behind a measured size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest dimension, in rows, that may be shipped to every executor. A site
-# row is about 150 bytes in memory, so 500k rows stay well under 100 MB.
-DEFAULT_BROADCAST_MAX_ROWS = 500_000
+# The most bytes of a side that may be shipped to every executor, as measured by ``measured_bytes``.
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+FIXED_BYTES = 8
 
 
-# Answers of earlier size checks in this process, keyed by the frame's
-# semantic plan hash and its input files (new or replaced files give a new
-# key, so a grown table is checked again). Only dimension-side frames are
-# checked, so their file lists are short.
-_SIZE_CHECKS: dict[tuple, bool] = {}
-_SIZE_CHECKS_MAX = 4096
+def _value_bytes(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c)
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(c)))
+    else:
+        return F.lit(FIXED_BYTES).cast("bigint")
+    return F.coalesce(size, F.lit(0)).cast("bigint") + F.lit(FIXED_BYTES)
 
 
-def _check_key(df: DataFrame, max_rows: int) -> tuple | None:
-    try:
-        return (
-            df.sparkSession.sparkContext.applicationId,
-            df.semanticHash(),
-            df.schema.json(),
-            tuple(sorted(df.inputFiles())),
-            max_rows,
-        )
-    except Exception:  # noqa: BLE001 - frames without a stable key are simply not memoised
-        return None
+def measured_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows of ``df`` take in memory: eight per value and the lengths
+    of its texts, summed in one aggregate (one partial sum leaves each task)."""
+    row = sum((_value_bytes(f) for f in df.schema.fields), F.lit(FIXED_BYTES).cast("bigint"))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when it was just measured to be small.
 
-    A plain ``count()``: column pruning leaves the scan nothing (or only
-    join keys) to decode, and only one partial count per task is shuffled.
-    (``limit(n + 1).count()`` looks cheaper but plans a per-task limit
-    followed by a single-partition exchange of up to ``n + 1`` rows from
-    every task, which on a large table ships far more than it saves.) The
-    answer is remembered for the same plan over the same files.
+    Measured anew at each call: a table may have been replaced since. Past the bound the frame is
+    returned unchanged; the join then shuffles both sides on the key (sort-merge), and adaptive
+    execution may still pick a broadcast from the measured shuffle size or split a skewed
+    partition.
     """
-    key = _check_key(df, max_rows)
-    if key is not None and key in _SIZE_CHECKS:
-        return _SIZE_CHECKS[key]
-    answer = df.count() <= max_rows
-    if key is not None:
-        if len(_SIZE_CHECKS) >= _SIZE_CHECKS_MAX:
-            _SIZE_CHECKS.clear()
-        _SIZE_CHECKS[key] = answer
-    return answer
-
-
-def bounded_broadcast(
-    df: DataFrame,
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    bound_by: DataFrame | None = None,
-) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven small.
-
-    ``bound_by`` is a frame whose row count bounds ``df``'s (the table ``df``
-    was projected, filtered or deduplicated from); checking it instead
-    avoids computing ``df`` once for the check and again for the join.
-    Past the bound the frame is returned unchanged; the join then shuffles
-    both sides on the key (sort-merge), and adaptive execution may still pick
-    a broadcast from the measured shuffle size or split a skewed partition.
-    """
-    proof = df if bound_by is None else bound_by
-    if max_rows > 0 and has_at_most(proof, max_rows):
+    if max_bytes > 0 and measured_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
 
@@ -77,10 +47,10 @@ def enrich(
     dimension: DataFrame,
     key: str,
     how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Equi-join a fact frame to a dimension on ``key`` (``USING`` semantics).
 
     Only the dimension is ever broadcast, never the fact side.
     """
-    return facts.join(bounded_broadcast(dimension, max_broadcast_rows), key, how)
+    return facts.join(bounded_broadcast(dimension, max_broadcast_bytes), key, how)

@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from faultline.functions.scalar import CRITICAL, SEVERITY_WEIGHTS, severity_weight, time_to_clear
 from faultline.operators.dedupe import dedupe_first
-from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from faultline.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, bounded_broadcast
 from faultline.schemas import ALARM_COLUMNS, GOLD_ATTRIBUTES, SITE_ATTRIBUTES
 
 
 def site_dimension(sites: DataFrame) -> DataFrame:
-    """The site columns Silver carries; its row count is the one size checks prove."""
+    """The site columns Silver carries; its size is the one measured."""
     return sites.select("site_id", *SITE_ATTRIBUTES)
 
 
 def build_silver(
     alarms: DataFrame,
     sites: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Deduplicate, enrich and clean the raw alarm feed.
 
@@ -30,11 +30,11 @@ def build_silver(
 
     Plan: one shuffle on ``alarm_id`` (pre-reduced by a partial
     ``WindowGroupLimit``), then a join to the site dimension that broadcasts
-    the dimension when its row count is proven small and otherwise
+    the dimension when it is measured to be small and otherwise
     sort-merges on ``site_id`` with adaptive skew splitting.
     """
     first = dedupe_first(alarms.select(*ALARM_COLUMNS), "alarm_id", ["raised_ts"])
-    dim = bounded_broadcast(site_dimension(sites), max_broadcast_rows)
+    dim = bounded_broadcast(site_dimension(sites), max_broadcast_bytes)
     joined = first.join(dim, "site_id", "inner")
     kept = joined.where(F.col("site_id").isNotNull() & F.col("severity").isNotNull())
     return kept.select(

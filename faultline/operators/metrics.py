@@ -8,7 +8,7 @@ the whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.functions.scalar import CRITICAL
@@ -227,27 +227,25 @@ def clear_time_histogram(silver: DataFrame, width: int = 60) -> DataFrame:
 
 
 def clear_time_summary(silver: DataFrame, by: str | None = None) -> DataFrame:
-    """Min, approximate quartiles and max of minutes to clear (optionally per group).
+    """Min, exact quartiles (nearest rank) and max of minutes to clear, optionally per group.
 
-    ``percentile_approx`` is a mergeable sketch, so the cost is one pass with
-    map-side partial aggregation whatever the size of a group.
+    Alarms are counted per group and whole minute first; the running sum then sees the distinct
+    minutes only, whatever the size of a group.
     """
+    keys = [by] if by else []
     t = F.col("time_to_clear_min")
-    aggs = [
-        F.count(t).alias("cleared_alarms"),
+    minutes = silver.where(t.isNotNull()).groupBy(*keys, "time_to_clear_min").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    ranked = minutes.select(
+        "*", F.sum("_n").over(group.orderBy(t)).alias("_upto"), F.sum("_n").over(group).alias("_all")
+    )
+
+    def percentile(p: int) -> Column:
+        return F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * p, t))
+
+    return ranked.groupBy(*keys).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("cleared_alarms"),
         F.min(t).alias("min_min"),
-        F.percentile_approx(t, [0.25, 0.5, 0.75, 0.95], 10000).alias("_q"),
+        *[percentile(p).alias(f"p{p}_min") for p in (25, 50, 75, 95)],
         F.max(t).alias("max_min"),
-    ]
-    src = silver.where(t.isNotNull())
-    grouped = src.groupBy(by).agg(*aggs) if by else src.agg(*aggs)
-    return grouped.select(
-        *([by] if by else []),
-        "cleared_alarms",
-        "min_min",
-        F.col("_q")[0].alias("p25_min"),
-        F.col("_q")[1].alias("p50_min"),
-        F.col("_q")[2].alias("p75_min"),
-        F.col("_q")[3].alias("p95_min"),
-        "max_min",
     )

@@ -12,9 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators.dedupe import flag_first, with_row_id
-from faultline.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
-from faultline.operators.medallion import site_dimension
+from faultline.operators.dedupe import flag_first
+from faultline.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, bounded_broadcast
 from faultline.schemas import ALARM_COLUMNS
 
 REASONS = "reasons"
@@ -67,23 +66,20 @@ def expectation_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return totals.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, failed_rows)", "total_rows")
 
 
-def tag_silver_contract(
+def silver_rejects(
     alarms: DataFrame,
     sites: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Raw alarms with the columns the Silver rules read, and the rules.
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+) -> DataFrame:
+    """Raw rows kept out of Silver, each with the list of broken rules.
 
     A row reaches Silver exactly when it passes every rule: it is the first
-    copy of its ``alarm_id`` (by ``raised_ts``), and its ``site_id`` and
+    copy of its ``alarm_id`` (by ``raised_ts``), its ``site_id`` and
     ``severity`` are set and its site exists.
     """
-    raw = with_row_id(alarms.select(*ALARM_COLUMNS))
-    flagged = flag_first(raw, "alarm_id", ["raised_ts"], flag="_first")
+    flagged = flag_first(alarms.select(*ALARM_COLUMNS), "alarm_id", ["raised_ts"], flag="_first")
     known = bounded_broadcast(
-        sites.select("site_id").distinct().withColumn("_known", F.lit(True)),
-        max_broadcast_rows,
-        bound_by=site_dimension(sites),
+        sites.select("site_id").distinct().withColumn("_known", F.lit(True)), max_broadcast_bytes
     )
     tagged = flagged.join(known, "site_id", "left")
     predicates = [
@@ -92,19 +88,30 @@ def tag_silver_contract(
         F.col("severity").isNotNull(),
         F.col("site_id").isNull() | F.col("_known").isNotNull(),
     ]
-    return tagged, dict(zip(SILVER_RULES, predicates, strict=True))
-
-
-def silver_rejects(alarms: DataFrame, sites: DataFrame) -> DataFrame:
-    """Raw rows kept out of Silver, each with the list of broken rules."""
-    tagged, rules = tag_silver_contract(alarms, sites)
-    _, rejected = expect(tagged, rules)
+    _, rejected = expect(tagged, dict(zip(SILVER_RULES, predicates, strict=True)))
     return rejected.select(*ALARM_COLUMNS, REASONS)
 
 
 def silver_expectation_counts(alarms: DataFrame, sites: DataFrame) -> DataFrame:
-    tagged, rules = tag_silver_contract(alarms, sites)
-    return expectation_counts(tagged, rules)
+    """``(rule, failed_rows, total_rows)`` of the Silver rules, from counts alone.
+
+    Surplus copies are rows less distinct ``alarm_id``s (nulls are one more); unknown sites come
+    from the count per ``site_id``, so only those leave the map tasks.
+    """
+    rows = F.count(F.lit(1))
+    has_null_id = F.coalesce(F.max(F.col("alarm_id").isNull().cast("bigint")), F.lit(0))
+    failed = [
+        rows - F.countDistinct("alarm_id") - has_null_id,
+        F.count_if(F.col("site_id").isNull()),
+        F.count_if(F.col("severity").isNull()),
+    ]
+    own = alarms.agg(rows.alias("total_rows"), *[c.alias(f"r{i}") for i, c in enumerate(failed)])
+    per_site = alarms.where(F.col("site_id").isNotNull()).groupBy("site_id").agg(rows.alias("n"))
+    unknown = per_site.join(sites.select("site_id"), "site_id", "left_anti")
+    unknown = unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("r3"))
+    stack = ", ".join(f"'{name}', r{i}" for i, name in enumerate(SILVER_RULES))
+    counts = _one_row_union([own, unknown])
+    return counts.selectExpr(f"stack({len(SILVER_RULES)}, {stack}) AS (rule, failed_rows)", "total_rows")
 
 
 def _one_row_union(frames: list[DataFrame]) -> DataFrame:

@@ -19,19 +19,21 @@ from faultline.operators import profile as P
 from faultline.operators import quality as Q
 from faultline.operators.dedupe import dedupe_first
 from faultline.operators.joins import bounded_broadcast
+from faultline.operators.medallion import build_gold, build_silver
 from faultline.plans.pipeline import Layers
 from faultline.schemas import ALARM_COLUMNS
 from faultline.sources import generate as GEN
-from faultline.sources.fixtures import AUDIT_AS_OF, AUDIT_TABLE
-from faultline.sources.tables import preview, table_path
+from faultline.sources.fixtures import AUDIT_AS_OF, AUDIT_TABLE, alarms_from_events
+from faultline.sources.tables import preview, read_files_sql, scan_named, table_path
 
 # Parameters of the registered reports.
 FORECAST_DAYS = 7
 HISTOGRAM_WIDTH_MIN = 60
 UPSTREAM_OF = AUDIT_TABLE
 DOWNSTREAM_OF = "main.net.s3"
-GENERATED_SITES = 1000
-GENERATED_DUPLICATES = 5000
+SITES_VIEW = "faultline_sites"
+# Sites of the changed copies in ``gold_duplicate_sites``: one in so many.
+CHANGED_SITE_ONE_IN = 50
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +67,17 @@ def q_gold(L: Layers) -> DataFrame:
     return L.gold()
 
 
+@register("gold_duplicate_sites")
+def q_gold_duplicate_sites(L: Layers) -> DataFrame:
+    """Gold where one site in 50 has a second, changed row in the dimension."""
+    sites = L.sites()
+    number = F.substring("site_id", 6, 20).cast("bigint")
+    changed = sites.where(number % CHANGED_SITE_ONE_IN == 0).withColumns(
+        {"region": F.concat("region", F.lit(" B")), "latitude": F.col("latitude") - 1}
+    )
+    return build_gold(build_silver(L.alarms(), sites.unionByName(changed)))
+
+
 # ---- rankings and roll-ups ---------------------------------------------------
 
 
@@ -259,12 +272,16 @@ def q_expectation_counts(L: Layers) -> DataFrame:
 
 @register("silver_validation")
 def q_silver_validation(L: Layers) -> DataFrame:
-    return Q.validate_silver(L.alarms(), L.silver())
+    """The raw feed is read as a path table inside SQL."""
+    events = read_files_sql(L.spark, table_path(L.sf_dir, "events"))
+    return Q.validate_silver(alarms_from_events(events), L.silver())
 
 
 @register("sites_validation")
 def q_sites_validation(L: Layers) -> DataFrame:
-    return Q.validate_sites(L.sites())
+    """The sites are read by a table name bound at run time."""
+    L.sites().createOrReplaceTempView(SITES_VIEW)
+    return Q.validate_sites(scan_named(L.spark, SITES_VIEW))
 
 
 @register("gold_validation")
@@ -395,27 +412,41 @@ def q_gen_sites(L: Layers) -> DataFrame:
     return GEN.generate_sites(L.feeds.table("customer"), "c_custkey")
 
 
+def site_span(L: Layers) -> dict[str, int]:
+    """The numbers of the synthetic sites: as many as customers, from the first key on."""
+    row = L.feeds.table("customer").agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("low")).first()
+    return {"n_sites": row.n, "first_site": row.low or 0}
+
+
 @register("gen_alarms")
 def q_gen_alarms(L: Layers) -> DataFrame:
-    """Synthetic alarms, one per event id, keyed to 1,000 synthetic sites."""
-    return GEN.generate_alarms(L.feeds.table("events"), GENERATED_SITES, "event_id")
+    """Synthetic alarms, one per event id, on the synthetic sites."""
+    return GEN.generate_alarms(L.feeds.table("events"), id_col="event_id", **site_span(L))
 
 
 @register("seed_nulls")
 def q_seed_nulls(L: Layers) -> DataFrame:
-    alarms = GEN.generate_alarms(L.feeds.table("events"), GENERATED_SITES, "event_id")
+    alarms = GEN.generate_alarms(L.feeds.table("events"), id_col="event_id", **site_span(L))
     return P.null_profile(alarms, ["site_id", "severity"])
 
 
 @register("seed_duplicates")
 def q_seed_duplicates(L: Layers) -> DataFrame:
-    feed = GEN.generate_alarm_feed(L.feeds.table("events"), GENERATED_SITES, GENERATED_DUPLICATES, "event_id")
+    feed = GEN.generate_alarm_feed(L.feeds.table("events"), id_col="event_id", **site_span(L))
     return P.duplicate_profile(feed, "alarm_id")
 
 
 @register("gen_alarm_feed")
 def q_gen_alarm_feed(L: Layers) -> DataFrame:
-    return GEN.generate_alarm_feed(L.feeds.table("events"), GENERATED_SITES, GENERATED_DUPLICATES, "event_id")
+    return GEN.generate_alarm_feed(L.feeds.table("events"), id_col="event_id", **site_span(L))
+
+
+@register("generated_gold")
+def q_generated_gold(L: Layers) -> DataFrame:
+    """Gold of the generated feeds: sites and alarms as the generators make them."""
+    alarms = GEN.generate_alarm_feed(L.feeds.table("events"), id_col="event_id", **site_span(L))
+    sites = GEN.generate_sites(L.feeds.table("customer"), "c_custkey")
+    return build_gold(build_silver(alarms, sites))
 
 
 def queries() -> dict[str, QueryFn]:

@@ -24,10 +24,6 @@ AUDIT_AS_OF = dt.datetime(2024, 1, 30, 23, 57, 0)
 AUDIT_TABLE = "main.net.t1"
 EMAIL_DOMAIN = "example.com"
 
-# TPC-H ``nation`` and ``region`` are fixed-size tables (25 and 5 rows); the
-# bound below is far above both and still tiny to ship.
-GEO_MAX_ROWS = 10_000
-
 
 def _k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
@@ -36,11 +32,11 @@ def _k(props: Column) -> Column:
 def sites_from_tables(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """``sites`` from ``customer ⨝ nation ⨝ region`` (one site per customer)."""
     geo = nation.select("n_nationkey", "n_name", "n_regionkey").join(
-        bounded_broadcast(region.select("r_regionkey", "r_name"), GEO_MAX_ROWS),
+        bounded_broadcast(region.select("r_regionkey", "r_name")),
         F.col("n_regionkey") == F.col("r_regionkey"),
     )
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
-        bounded_broadcast(geo, GEO_MAX_ROWS), F.col("c_nationkey") == F.col("n_nationkey")
+        bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")
     )
     key = F.col("c_custkey")
     out = c.select(
@@ -144,7 +140,10 @@ def truths_from_customers(customer: DataFrame) -> DataFrame:
 
 
 def answers_from_customers(customer: DataFrame) -> DataFrame:
-    """Two answer rounds per case; round 1 misses every 3rd case, round 2 every 6th."""
+    """Two answer rounds per case; round 1 misses every 3rd case, round 2 every 6th.
+
+    Every 5th answer that does not miss names the truth in its first result row only.
+    """
     key = F.col("c_custkey")
 
     def one_round(rnd: int, miss_every: int) -> DataFrame:
@@ -152,9 +151,11 @@ def answers_from_customers(customer: DataFrame) -> DataFrame:
             key.cast("bigint").alias("case_id"),
             F.lit(rnd).cast("bigint").alias("round"),
             F.when(key % miss_every == 0, F.lit("unknown"))
+            .when(key % 5 == 0, F.lit("The answer is in the table;"))
             .otherwise(F.concat(F.lit("The answer is "), F.lower(F.col("c_name"))))
             .alias("answer_text"),
-            F.lit(None).cast("string").alias("first_row_text"),
+            F.when((key % miss_every != 0) & (key % 5 == 0), F.concat(F.upper(F.col("c_name")), F.lit(" 1")))
+            .alias("first_row_text"),
         )
 
     return one_round(1, 3).unionByName(one_round(2, 6))
@@ -166,12 +167,15 @@ class Feeds:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._sites: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     def sites(self) -> DataFrame:
-        return sites_from_tables(self.table("customer"), self.table("nation"), self.table("region"))
+        if self._sites is None:
+            self._sites = sites_from_tables(self.table("customer"), self.table("nation"), self.table("region"))
+        return self._sites
 
     def alarms(self) -> DataFrame:
         return alarms_from_events(self.table("events"))

@@ -40,6 +40,8 @@ S_SITE, S_SITE_NULL, S_NODE, S_TYPE, S_SEV_NULL, S_SEV = 11, 12, 13, 14, 15, 16
 S_DAYS, S_HOURS, S_MINS, S_OPEN, S_CLEAR, S_ACK, S_CAUSE = 17, 18, 19, 20, 21, 22, 23
 
 DEFAULT_AS_OF = dt.datetime(2024, 1, 31)
+# One row in so many is repeated (5,000 of 200,000 at the default volume).
+DUPLICATE_ONE_IN = 40
 
 
 def _metro(idx: Column, field: int) -> Column:
@@ -88,15 +90,17 @@ def generate_alarms(
     null_severity_rate: float = 0.03,
     open_rate: float = 0.15,
     keep_index: bool = False,
+    first_site: int = 0,
 ) -> DataFrame:
     """One alarm per index with a site key, type, severity, times and status.
 
+    Alarms fall on the ``n_sites`` sites numbered from ``first_site``.
     Raised within the 60 days before ``as_of``; cleared 5..599 whole minutes
     later unless open; open alarms are ACTIVE or ACKNOWLEDGED at random.
     """
     i = F.col(id_col).cast("bigint")
     u = lambda s: hashed_uniform(i, s)
-    site_n = (u(S_SITE) * F.lit(n_sites)).cast("bigint")
+    site_n = (u(S_SITE) * F.lit(n_sites)).cast("bigint") + F.lit(first_site)
     raised = F.timestamp_add(
         "MINUTE",
         -((u(S_DAYS) * 60).cast("int") * 1440 + (u(S_HOURS) * 24).cast("int") * 60 + (u(S_MINS) * 60).cast("int")),
@@ -127,18 +131,20 @@ def generate_alarms(
     return out if keep_index else out.drop("_idx")
 
 
-def seed_duplicates(df: DataFrame, idx_col: str, n: int) -> DataFrame:
-    """Append verbatim copies of the rows with index below ``n``."""
-    return df.unionByName(df.where(F.col(idx_col) < F.lit(n)))
+def seed_duplicates(df: DataFrame, idx_col: str, one_in: int = DUPLICATE_ONE_IN) -> DataFrame:
+    """Add a verbatim copy of each row whose index is divisible by ``one_in``, in the same scan."""
+    copies = F.when(F.col(idx_col) % F.lit(one_in) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", F.explode(copies).alias("_copy")).drop("_copy")
 
 
 def generate_alarm_feed(
     ids: DataFrame,
     n_sites: int,
-    n_duplicates: int,
+    one_in: int = DUPLICATE_ONE_IN,
     id_col: str = "id",
     as_of: dt.datetime = DEFAULT_AS_OF,
+    first_site: int = 0,
 ) -> DataFrame:
-    """Alarms plus ``n_duplicates`` verbatim copies (the first ``n`` indexes)."""
-    with_idx = generate_alarms(ids, n_sites, id_col, as_of, keep_index=True)
-    return seed_duplicates(with_idx, "_idx", n_duplicates).drop("_idx")
+    """Alarms plus a verbatim copy of one alarm in ``one_in``."""
+    with_idx = generate_alarms(ids, n_sites, id_col, as_of, keep_index=True, first_site=first_site)
+    return seed_duplicates(with_idx, "_idx", one_in).drop("_idx")

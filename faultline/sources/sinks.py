@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,6 +20,10 @@ def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return path
 
 
+def _quoted(table: str) -> str:
+    return ".".join(f"`{part}`" for part in table.split("."))
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -31,9 +37,14 @@ def publish(
     ``partition_by`` (e.g. ``event_date`` on Silver) lets date filters prune
     files; ``bucket_by=(n, key)`` pre-shuffles on ``key`` so later joins and
     aggregations on it need no exchange. With ``path`` the table's files live
-    there (an external table, e.g. in the shared checkpoint folder).
+    there (an external table; give each version a folder of its own), else in the warehouse.
+    The new version is written beside the old one and takes its name only once it is whole.
+    A partitioned table always lies in a folder of its own, as its partitions keep their places
+    when the table is renamed; the folder of the version before stays until its owner removes it.
     """
     spark = df.sparkSession
+    if partition_by and not path:
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}-{uuid.uuid4().hex}"
     if bucket_by:
         # One writing task per bucket, whatever the last shuffle was: as many files as buckets.
         df = df.repartition(bucket_by[0], bucket_by[1])
@@ -44,8 +55,11 @@ def publish(
         writer = writer.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
     if path:
         writer = writer.option("path", path)
+    staged = f"{table}__next"
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": staged})
+    writer.saveAsTable(staged)
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
-    writer.saveAsTable(table)
+    spark.sql(f"ALTER TABLE {_quoted(staged)} RENAME TO {_quoted(table)}")
     return spark.table(table)
 
 

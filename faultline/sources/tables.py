@@ -31,8 +31,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 # The driver's tables are read-only, so their (lazy) frames are kept per
-# session and path: later queries skip the footer-reading job and the
-# size-check memo sees the same plans. Feeds read with ``read_feed`` are
+# session and path: later queries skip the footer-reading job. Feeds read with ``read_feed`` are
 # never cached, since they may change between runs.
 _DRIVER_FRAMES: dict[tuple[str, str], DataFrame] = {}
 

@@ -44,6 +44,22 @@ def test_hashed_uniform_range_and_streams(spark):
     assert abs(r[2] - 0.5) < 0.02 and abs(r[3]) < 0.05
 
 
+def test_hashed_uniform_triples_are_independent(spark):
+    """A 6 x 6 x 6 table of three consecutive streams is as even as chance makes it."""
+    n, k = 43_200, 6
+    cells = spark.range(n).select(*[F.floor(hashed_uniform("id", s) * k).alias(f"c{s}") for s in (17, 18, 19)])
+    counts = [r["count"] for r in cells.groupBy("c17", "c18", "c19").count().collect()]
+    expected = n / k**3
+    chi2 = sum((c - expected) ** 2 / expected for c in counts)
+    assert len(counts) == k**3 and 140 < chi2 < 310  # 215 degrees of freedom
+
+
+def test_hashed_uniform_has_no_short_period(spark):
+    far = 2**31 - 1
+    df = spark.range(2000).select(hashed_uniform("id", 1).alias("a"), hashed_uniform(F.col("id") + far, 1).alias("b"))
+    assert df.where("a = b").count() == 0
+
+
 def test_excerpt_and_containment(spark):
     df = spark.createDataFrame([("SELECT 1;; \n", "select"), ("x" * 300, "X" * 5)], "t string, n string")
     got = df.select(excerpt("t", 160).alias("e"), contains_ignore_case("t", "n").alias("c")).collect()

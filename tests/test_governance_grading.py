@@ -81,7 +81,7 @@ def test_table_file_stats(spark):
 
     path = f"{SF_SMALL}/events.parquet"
     stats = G.table_file_stats(spark, path).collect()[0]
-    assert (stats.num_files, stats.size_in_bytes) == (1, os.path.getsize(path))
+    assert (stats.num_files, stats.size_in_bytes, stats.num_rows) == (1, os.path.getsize(path), 1000)
     # a partitioned table: files in sub-folders are counted, other files are not
     out = tempfile.mkdtemp(prefix="stats-")
     spark.read.parquet(path).write.partitionBy("event_type").parquet(os.path.join(out, "t"))

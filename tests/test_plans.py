@@ -12,8 +12,8 @@ from conftest import SF_SMALL
 
 from faultline.plans.queries import queries
 from faultline.operators import metrics as M
-from faultline.operators.medallion import build_gold
-from faultline.operators.quality import validate_silver
+from faultline.operators.medallion import build_gold, build_silver
+from faultline.operators.quality import silver_rejects, validate_silver
 from faultline.plans.pipeline import Layers, publish_layer
 from faultline.sources.sinks import write_feed
 
@@ -76,6 +76,23 @@ def test_bucketed_silver_needs_no_exchange_for_alarm_id(spark, layers_small):
     assert "hashpartitioning(alarm_id" not in plan
 
 
+@pytest.mark.parametrize("bound", [0, 64 * 1024 * 1024])
+def test_published_silver_has_one_file_per_bucket(spark, layers_small, bound):
+    L = layers_small
+    silver = build_silver(L.alarms(), L.sites(), max_broadcast_bytes=bound)
+    table = publish_layer(silver, f"silver_files_{bound}", bucket_by=(8, "alarm_id"))
+    assert len(table.inputFiles()) == 8
+    # a second version replaces the first, whose files go
+    again = publish_layer(silver, f"silver_files_{bound}", bucket_by=(8, "alarm_id"))
+    assert len(again.inputFiles()) == 8 and not set(again.inputFiles()) & set(table.inputFiles())
+    assert again.count() == L.silver().count()
+
+
+def test_rejects_exchange_no_row_id(layers_small):
+    plan = plan_of(silver_rejects(layers_small.alarms(), layers_small.sites()))
+    assert "monotonically_increasing_id" not in plan and "SortMergeJoin" not in plan
+
+
 def test_worst_site_join_broadcasts_one_row(layers_small):
     plan = plan_of(M.worst_site_causes(layers_small.silver(), layers_small.gold()))
     assert "TakeOrderedAndProject(limit=1" in plan

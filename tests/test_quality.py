@@ -55,6 +55,8 @@ def test_reasons_list_every_broken_rule(spark):
         ("A1", ("site_id_not_null", "severity_not_null")),
         ("A2", ("site_known",)),
     ]
+    same = Q.silver_rejects(alarms, sites, max_broadcast_bytes=0)
+    assert sorted((r.alarm_id, tuple(r.reasons)) for r in same.collect()) == got
     counts = {r.rule: r.failed_rows for r in Q.silver_expectation_counts(alarms, sites).collect()}
     assert counts == {"first_copy_of_alarm": 1, "site_id_not_null": 1, "severity_not_null": 1, "site_known": 1}
 
@@ -113,7 +115,7 @@ def test_range_profile(spark):
 
 
 def test_clear_time_summary_against_brute_force(layers_small):
-    """Approximate quantiles are exact below the sketch size: compare with nearest rank."""
+    """Quartiles are the nearest ranks."""
     import math
 
     from faultline.operators import metrics as M

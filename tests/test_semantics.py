@@ -222,6 +222,9 @@ def test_hot_alarm_id_dedupes_to_its_earliest_copy(spark):
     flagged = flag_first(alarms, "alarm_id", ["raised_ts"])
     assert flagged.where("is_first").count() == n - n // 3 + 1
     assert flagged.count() == n
+    # the same rows are first however the input is partitioned
+    again = flag_first(alarms.repartition(3, "raised_ts"), "alarm_id", ["raised_ts"])
+    assert again.exceptAll(flagged).isEmpty()
 
 
 def test_hot_site_on_the_sort_merge_path_matches_broadcast(spark):
@@ -231,7 +234,7 @@ def test_hot_site_on_the_sort_merge_path_matches_broadcast(spark):
     alarms = _skewed_alarms(spark, n)
     sites = frame(spark, [site(f"SITE-{i:05d}") for i in range(50)], SITES)
     broadcast = build_silver(alarms, sites)
-    shuffled = build_silver(alarms, sites, max_broadcast_rows=10)
+    shuffled = build_silver(alarms, sites, max_broadcast_bytes=10)
     assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
     assert shuffled.count() == broadcast.count() == n - hot + 1
     assert shuffled.exceptAll(broadcast).count() == 0

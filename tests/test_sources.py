@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from faultline.operators.joins import bounded_broadcast, has_at_most
+from faultline.operators.joins import bounded_broadcast, measured_bytes
 from faultline.operators.profile import duplicate_profile, null_profile
 from faultline.schemas import ALARMS, SITES, SchemaMismatch, check_schema
 from faultline.sources import generate as GEN
@@ -55,11 +55,24 @@ def test_preview_is_ordered(layers_small):
 
 def test_bounded_broadcast(spark):
     small = spark.range(10)
-    assert has_at_most(small, 10) and not has_at_most(small, 9)
-    plan_small = spark.range(1000).join(bounded_broadcast(small, 100), "id")._jdf.queryExecution().toString()
+    assert measured_bytes(small) == 160 and measured_bytes(small.where("false")) == 0
+    plan_small = spark.range(1000).join(bounded_broadcast(small, 160), "id")._jdf.queryExecution().toString()
     assert "broadcast" in plan_small.lower()
     big = spark.range(1000)
-    assert bounded_broadcast(big, 100) is big
+    assert bounded_broadcast(big, 160) is big
+    # few rows of long texts are not small
+    long = spark.range(3).select("id", F.repeat(F.lit("x"), 100_000).alias("t"))
+    assert bounded_broadcast(long, 200_000) is long
+
+
+def test_a_replaced_file_is_measured_again(spark):
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="grown-") + "/t"
+    spark.range(5).write.parquet(path)
+    first = measured_bytes(spark.read.parquet(path))
+    spark.range(5000).write.mode("overwrite").parquet(path)
+    assert measured_bytes(spark.read.parquet(path)) == 1000 * first
 
 
 def test_generated_sites(spark):
@@ -75,7 +88,7 @@ def test_generated_sites(spark):
 
 def test_generated_alarm_rates(spark):
     n = 200_000
-    feed = GEN.generate_alarm_feed(spark.range(n), n_sites=1000, n_duplicates=5000)
+    feed = GEN.generate_alarm_feed(spark.range(n), n_sites=1000)
     check_schema(feed, ALARMS, "generated alarms")
     nulls = null_profile(feed, ["site_id", "severity"]).collect()[0]
     assert nulls.total_rows == n + 5000
