@@ -4,7 +4,7 @@
 
 The generated feeds are landed, Silver and Gold are built from them and published once as
 tables in the warehouse (Silver bucketed by ``alarm_id``), then the headline queries read the
-published layers and the landed feeds. Every step is timed separately;
+published layers and the landed feeds (``silver_validation`` alone counts the fixture feed). Every step is timed separately;
 ``value`` is the wall time of all steps. Prints one JSON line.
 """
 
