@@ -29,11 +29,12 @@ LABELLERS = (
     ("dup_lines", 0.40, 0.20),
     ("sameness", 0.80, 0.60),
 )
-MIN_WORDS = 10
 MAX_FALSE = 0.002
 PER_CLASS = 2000
 DIMS = 4096
 GRAMS = 4
+# Shares seen in few class characters are drawn to those of good texts, as if so many more were typical.
+TYPICAL = 4
 BUCKETS = 20
 REJECT_FROM = 0.5
 
@@ -44,7 +45,11 @@ for _c in range(128):
 
 
 def votes(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with ``votes``, an array of 1 (good), -1 (bad) and 0 per labeller."""
+    """``docs`` with ``votes``, an array of 1 (good), -1 (bad) and 0 per labeller.
+
+    No measure is defined without a word: there all labellers abstain. A text of one word or one
+    line repeats none (shares of 0).
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = materialised(docs.withColumn("_t", text), "_w", word_array(F.col("_t")))
     rows = rows.withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
@@ -60,9 +65,8 @@ def votes(docs: DataFrame, text_col: str) -> DataFrame:
         "dup_lines": 1 - F.size(F.array_distinct("_l")) / lines,
         "sameness": 1 - F.size(F.array_distinct("_w")) / n,
     }
-    enough = F.size("_w") >= MIN_WORDS
     vote = [
-        F.when(~enough, F.lit(0)).when(of[m] >= bad, F.lit(-1)).when(of[m] <= good, F.lit(1)).otherwise(F.lit(0))
+        F.when(F.size("_w") == 0, F.lit(0)).when(of[m] >= bad, F.lit(-1)).when(of[m] <= good, F.lit(1)).otherwise(F.lit(0))
         for m, bad, good in LABELLERS
     ]
     return rows.withColumn("votes", F.array(*vote)).drop("_t", "_w", "_l")
@@ -96,9 +100,10 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> di
     return {tuple(int(v) for v in p): float(b) for p, b in zip(patterns, bad)}
 
 
-def features(text: str | None) -> np.ndarray:
+def features(text: str | None) -> tuple[np.ndarray, float]:
     """Hashed features of a whole text: n-grams of character classes (runs of letters as one),
-    as square roots of their shares, and buckets of how much words and lines repeat."""
+    as square roots of their shares, and buckets of how much words and lines repeat. Beside them
+    the weight of the text's own features against those of a typical good text."""
     raw = (text or "").encode("utf-8", "replace")
     kinds = _CLASSES[np.frombuffer(raw, np.uint8)]
     letters = (kinds == ord("a")) | (kinds == ord("A"))
@@ -122,7 +127,7 @@ def features(text: str | None) -> np.ndarray:
         for kind, share in enumerate(shares):
             step = (kind * (BUCKETS + 1) + int(share * BUCKETS) + 1) * 0x9E3779B1 % DIMS
             out[step] += 1
-    return out
+    return out, len(kinds) / (len(kinds) + TYPICAL)
 
 
 def fit_scorer(x: np.ndarray, bad: np.ndarray, ridge: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -170,30 +175,35 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
             made = [features(t) for t in f["text"]]
             yield pd.DataFrame({
                 "pick": f["pick"].to_numpy(), "bad": [posterior[tuple(int(v) for v in x)] for x in f["votes"]],
-                "at": [np.flatnonzero(m).astype(np.int16) for m in made], "value": [m[m != 0] for m in made],
+                "at": [np.flatnonzero(m).astype(np.int16) for m, _ in made], "value": [m[m != 0] for m, _ in made],
+                "own": [own for _, own in made],
             })
 
-    got = sample.mapInPandas(run, "pick bigint, bad double, at array<smallint>, value array<float>")
+    got = sample.mapInPandas(run, "pick bigint, bad double, at array<smallint>, value array<float>, own double")
     # One row per hash: repeated rows of a sampled id would pass the bound.
     got = got.dropDuplicates(["pick"]).orderBy("pick").collect()
     x = np.zeros((len(got), DIMS), np.float32)
     for i, r in enumerate(got):
         x[i, r["at"]] = r["value"]
-    weights, bias = fit_scorer(x, np.array([r["bad"] for r in got], float))
-    return {"posterior": posterior, "weights": weights, "bias": bias}
+    bad = np.array([r["bad"] for r in got], float)
+    own = np.array([r["own"] for r in got], np.float32)[:, None]
+    typical = x[bad < 0.5].mean(axis=0) if (bad < 0.5).any() else np.zeros(DIMS, np.float32)
+    weights, bias = fit_scorer(own * x + (1 - own) * typical, bad)
+    return {"posterior": posterior, "weights": weights, "bias": bias, "typical": float(typical @ weights)}
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", name: str = "p_bad") -> DataFrame:
-    """``docs`` with the scorer's probability of "bad" for the whole text; a text with fewer than
-    ``MIN_WORDS`` words (or null) has no basis for a judgement and gets 0."""
-    weights, bias = model["weights"], model["bias"]
+    """``docs`` with the scorer's probability of "bad" for the whole text; a null text or one
+    without a word has nothing to judge and gets 0."""
+    weights, bias, typical = model["weights"], model["bias"], model["typical"]
 
     @F.pandas_udf("double")
     def p_bad(texts: pd.Series) -> pd.Series:
         def one(t):
-            if t is None or len(t.split()) < MIN_WORDS:
+            if t is None or not t.strip(BLANKS):
                 return 0.0
-            return float(1 / (1 + np.exp(-np.clip(features(t) @ weights + bias, -60, 60))))
+            values, own = features(t)
+            return float(1 / (1 + np.exp(-np.clip(own * (values @ weights) + (1 - own) * typical + bias, -60, 60))))
 
         return texts.map(one)
 

@@ -37,6 +37,16 @@ def test_classifier_keeps_good_and_rejects_bad(spark):
     assert n.get((1, False), 0) <= 0.01 * n[1, True] and n.get((0, True), 0) <= 0.1 * n[0, False]
 
 
+def test_classifier_judges_short_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 4000").select("doc_id", "text")
+    short = [(10**6 + i, t) for i, t in enumerate(["That*** atly.###", "Reon*** haeand$$$ and&&& ererti$$$ reorsh$$$ ererndhe.***"])]
+    plain = [(10**6 + 10 + i, t) for i, t in enumerate(["Thtion.", "De.", "The esingor.", "Therti onor theasthe.", "", None])]
+    got = weaklabel.classify(docs.union(spark.createDataFrame(short + plain, "doc_id bigint, text string"))).where("doc_id >= 1000000")
+    p = {r["doc_id"] - 10**6: r["p_bad"] for r in got.collect()}
+    assert min(p[0], p[1]) >= weaklabel.REJECT_FROM and max(p[i] for i in range(10, 16)) < weaklabel.REJECT_FROM
+    assert p[14] == p[15] == 0 < min(p[i] for i in range(10, 14))
+
+
 def test_classifier_edge_rows(edge_docs, edge_rows, no_docs):
     got = weaklabel.classify(edge_docs).collect()
     assert collections.Counter(g["doc_id"] for g in got) == collections.Counter(r[0] for r in edge_rows)
