@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 
 ARCHIVE_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 1000
-HEADER_LIMIT = 1 << 16
 INFLATE_STEP = 1 << 16
 GZIP_MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
+_BLANK_LINE = re.compile(rb"\r\n\r\n")
+_HEAD_END = re.compile(rb"\r\n(?:\r\n|WARC/1\.)")
 # The profile a revisit of an equal payload names, and the HTTP head of a stored page.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -137,19 +138,20 @@ def _parse(data: memoryview, at: int) -> tuple[dict | None, int, str]:
     """The record at ``at`` and its end, or None, ``at`` and what failed."""
     if bytes(data[at : at + len(VERSION)]) != VERSION:
         return None, at, "no version line"
-    head = bytes(data[at : at + HEADER_LIMIT])
-    stop = head.find(b"\r\n\r\n")
-    if stop < 0:
+    # A blank line or the next version line, whichever is first.
+    found = _HEAD_END.search(data, at)
+    if found is None or found[0] != b"\r\n\r\n":
         return None, at, "headers do not end"
+    stop = found.start()
     fields = {}
-    for line in head[:stop].split(b"\r\n")[1:]:
+    for line in bytes(data[at:stop]).split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             return None, at, "bad header line"
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     if not re.fullmatch(r"[0-9]+", fields.get("content-length", "")):
         return None, at, "no content length"
-    begin, size = at + stop + 4, int(fields["content-length"])
+    begin, size = stop + 4, int(fields["content-length"])
     end = begin + size
     if end + 4 > len(data):
         return None, at, "record is cut off"
@@ -161,10 +163,10 @@ def _parse(data: memoryview, at: int) -> tuple[dict | None, int, str]:
         return None, at, "block digest differs"
     kind, payload = fields.get("warc-type", ""), block
     if fields.get("content-type", "").startswith("application/http"):
-        http = bytes(block[:HEADER_LIMIT]).find(b"\r\n\r\n")
-        if http < 0:
+        http = _BLANK_LINE.search(block)
+        if http is None:
             return None, at, "no http head"
-        payload = block[http + 4 :]
+        payload = block[http.end() :]
     digest, length = hashlib.sha1(payload).hexdigest(), len(payload)
     named = fields.get("warc-payload-digest", "")
     if kind == "revisit":

@@ -38,6 +38,20 @@ def test_round_trip_with_edge_rows(spark):
             assert (r["record_type"], r["refers_to"], bytes(r["payload"])) == ("response", None, body)
 
 
+def test_long_urls_and_http_heads_are_read(spark):
+    url = "http://a/" + "x y" * 33_333
+    got = round_trip(spark, [(1, url, "body"), (2, "u", BIG)])
+    assert [(r["kind"], r["record_id"]) for r in sorted(got, key=lambda r: r["record_id"] or "")] == [("record", "urn:page:1"), ("record", "urn:page:2")]
+    assert url.replace(" ", "%20") in {r["target_uri"] for r in got}
+    block = b"HTTP/1.1 200 OK\r\nX-Long: " + b"y" * 100_000 + b"\r\n\r\nbody"
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n"
+    plain = head.encode() + block + b"\r\n\r\n"
+    cut_off = b"WARC/1.1\r\nWARC-Type: response\r\n"
+    read = list(warc.salvage(plain + cut_off + plain))
+    assert [x["kind"] for x in read] == ["record", "gap", "record"] and bytes(read[2]["payload"]) == b"body"
+    assert read[1]["reason"] == "headers do not end"
+
+
 def test_empty_table(spark):
     path = tempfile.mkdtemp(prefix="faultline-warc-")
     records = warc.with_revisits(pages(spark, []), "page_id", "url", "html")
