@@ -123,7 +123,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
                 out.append(("email", start, m.end()))
                 done = m.end()
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") or "0" for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")

@@ -99,6 +99,11 @@ def test_base_spans_match_the_patterns():
     assert crf.base_spans("9" * 200_000) == [] and crf.base_spans("a" * 200_000 + "@") == []
 
 
+def test_ip_parts_of_many_zeros():
+    zeros = "0" * 5000
+    assert crf.base_spans(f"{zeros}.1.1.{zeros}7") == [("ip", 0, 10_006)] and crf.base_spans(f"{zeros}256.1.1.1") == []
+
+
 def test_field_learns_its_table_and_leaves_others_alone():
     field = crf.train()
     hits = wanted = wrong = 0
