@@ -46,8 +46,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# The classifier, the fingerprints and the tokenizer are not SQL; tests hold run() against a
-# brute-force version.
+# The classifier, the fingerprints and the tokenizer are not SQL; tests hold the stages and run()
+# against the operators they call, not against an independent version.
 ORACLE_SQL = None
 
 
