@@ -59,19 +59,17 @@ def text_fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, key, fp)`` per row of ``docs``; ``fp`` is the fingerprint as a signed long.
-
-    ``key`` addresses the row: its id, or a hash of the text where the id is null.
-    """
+    """``(doc_id, text_hash, fp)`` per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("key"), "text")
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((text_fingerprint(t.as_py(), shingle) for t in batch["text"]), np.uint64, len(batch))
-            yield pa.record_batch([batch["doc_id"], batch["key"], pa.array(found.view(np.int64))], ["doc_id", "key", "fp"])
+            columns = [batch["doc_id"], batch["text_hash"], pa.array(found.view(np.int64))]
+            yield pa.record_batch(columns, ["doc_id", "text_hash", "fp"])
 
-    return rows.mapInArrow(run, "doc_id bigint, key bigint, fp bigint")
+    return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def block_masks(max_bits: int, shared: int) -> list[int]:
@@ -206,27 +204,28 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, hot_key: int = HOT_KEY,
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, fingerprint, component_id, key, keep_key``.
+    """One row per row of ``docs``: ``doc_id, fingerprint, component_id, text_hash, keep``.
 
     ``fingerprint`` is 16 hex digits. ``component_id`` is the smallest id reachable over links
     of at most ``max_bits`` differing bits (null if no row of the component has an id).
-    ``keep_key`` names the one document of the component that a filter keeps, matched on
-    ``key`` (the id, or a hash of the text for null ids). Null texts count as empty and have
-    fingerprint zero; repeated rows fall into one component; an empty table gives no rows; other
-    columns are not read.
+    ``keep`` is true for the one document of the component that a filter keeps: the smallest id,
+    then the smallest hash of the text (rows without an id come last). It is true for all repeats
+    of that document. Null texts count as empty and have fingerprint zero; repeated rows fall into
+    one component; an empty table gives no rows; other columns are not read.
     """
     rows = cut(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("key").alias("low_key")).checkpoint()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    nodes = rows.groupBy("fp").agg(first).checkpoint()
     linked = components(fingerprint_links(nodes, max_bits), "a", "b")
     of = nodes.join(linked.toDF("fp", "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    best = of.groupBy("root").agg(F.min("low").alias("component_id"), F.min("low_key").alias("low_key"))
-    of = of.select("fp", "root").join(best, "root").select(
-        "fp", "component_id", F.coalesce("component_id", "low_key").alias("keep_key")
-    )
+    best = of.groupBy("root").agg(F.min("first").alias("first"))
+    of = of.select("fp", "root").join(best, "root").select("fp", "first")
     # Rows of one fingerprint may be a large part of all rows; the other side is unique, so a
     # split of the hot partition is safe and adaptive execution makes it.
     out = rows.join(of, "fp")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "key", "keep_key")
+    keep = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return out.select("doc_id", fingerprint, F.col("first.doc_id").alias("component_id"), "text_hash", keep.alias("keep"))
 
 
 def drop_near_duplicates(
@@ -234,9 +233,11 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row left of each component: the one with the smallest id.
 
-    Of repeated rows with that id one stays. Columns and their order are those of ``docs``.
+    Of different texts with that id the one with the smallest hash stays, of repeated rows one.
+    Columns and their order are those of ``docs``.
     """
-    keep = near_duplicates(docs, shingle, max_bits, id_col, text_col).select(F.col("keep_key").alias("_key")).distinct()
-    key = F.coalesce(F.col(id_col).cast("bigint"), F.xxhash64(text_col))
-    keyed = docs.select(whole_row(docs), key.alias("_key"))
-    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
+    keep = near_duplicates(docs, shingle, max_bits, id_col, text_col).where("keep")
+    keep = keep.select(F.col("doc_id").alias("_k"), F.col("text_hash").alias("_h")).distinct()
+    keyed = docs.select(whole_row(docs), F.col(id_col).cast("bigint").alias("_id"), F.xxhash64(text_col).alias("_hash"))
+    same = F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h"))
+    return keyed.join(keep, same, "left_semi").dropDuplicates(["_id", "_hash"]).select("_row.*")

@@ -46,6 +46,13 @@ def test_one_document_of_each_component_stays(edge_docs, edge_rows):
     assert kept.count() == len(set(slow_components(fps, 4)))
 
 
+def test_components_that_share_an_id_keep_one_row_each(make):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a, "en", "s"), (2, a, "en", "s"), (1, b, "en", "s"), (3, b, "en", "s"), (None, b, "en", "s")]
+    kept = simhash.drop_near_duplicates(make(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, a), (1, b)]
+
+
 def test_empty_table(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.drop_near_duplicates(no_docs).count() == 0
