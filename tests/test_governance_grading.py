@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import SF_SMALL, alarm, frame, site
+from helpers import SF_SMALL, alarm, frame, site
 from pyspark.sql import functions as F
 
 from faultline.operators import forecast as FC

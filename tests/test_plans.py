@@ -8,7 +8,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from faultline.plans.queries import queries
 from faultline.operators import metrics as M

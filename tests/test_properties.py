@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
-from conftest import frame, site
+from helpers import frame, site
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import alarm, frame, site
+from helpers import alarm, frame, site
 from pyspark.sql import functions as F
 
 from faultline.operators import profile as P

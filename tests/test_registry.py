@@ -6,7 +6,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as E
 from faultline.plans.oracle import oracle_sql

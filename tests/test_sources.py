@@ -6,7 +6,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 from faultline.operators.joins import bounded_broadcast, measured_bytes
