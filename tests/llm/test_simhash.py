@@ -82,3 +82,14 @@ def test_components_of_chain_star_and_pair(spark):
     assert {got[i] for i in range(101)} == {0} and {got[i] for i in [1000, *range(500, 550)]} == {500}
     assert got[9000] == got[8000] == 8000
     assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b").count() == 0
+
+
+@pytest.mark.parametrize("order", ["rising", "zigzag", "shuffled"])
+def test_components_of_a_long_chain_take_few_steps(spark, order):
+    n = 1000
+    ids = {"rising": list(range(n)), "zigzag": [i // 2 if i % 2 else n - i // 2 for i in range(n)],
+           "shuffled": np.random.default_rng(1).permutation(n).tolist()}[order]
+    steps = []
+    got = components(spark.createDataFrame(list(zip(ids, ids[1:])), "a bigint, b bigint"), "a", "b", steps).collect()
+    assert len(got) == n and {r["root"] for r in got} == {min(ids)}
+    assert steps.count("doubling") <= 40 and steps.count("round") <= 10
