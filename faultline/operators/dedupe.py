@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,12 +20,16 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def _ordering(df: DataFrame, keys: list[str], order: list[str | Column], tiebreak: bool) -> list[Column]:
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+def ordering(
+    df: DataFrame, keys: list[str], order: list[str | Column], tiebreak: bool = True, of: Callable[[str], Column] = F.col
+) -> list[Column]:
+    """``order``, then every other column that can be ordered, so that the order is the same on every
+    run. ``of`` says where a column of ``df`` is found."""
+    cols = [of(c) if isinstance(c, str) else c for c in order]
     if tiebreak:
         named = {c for c in order if isinstance(c, str)} | set(keys)
         cols += [
-            F.col(f.name).asc_nulls_first()
+            of(f.name).asc_nulls_first()
             for f in df.schema.fields
             if f.name not in named and _orderable(f.dataType)
         ]
@@ -45,7 +51,7 @@ def dedupe_first(
     repeated a billion times leaves each map task as a single row.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*_ordering(df, keys, order, tiebreak))
+    w = Window.partitionBy(*keys).orderBy(*ordering(df, keys, order, tiebreak))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -211,6 +211,23 @@ def worst_site_top_cause(silver: DataFrame, gold: DataFrame) -> DataFrame:
     return top_k(causes, 1, [F.desc("alarms")], ["probable_cause"]).select("probable_cause")
 
 
+def top_cause_by_site(silver: DataFrame) -> DataFrame:
+    """``site_id, probable_cause, alarms, share`` of the most frequent cause of every site.
+
+    Alarms are counted per site and cause first, in the map tasks: a hot site leaves a task as one
+    row per cause. Equal counts go to the cause that sorts first; a null cause is a cause, last.
+    """
+    counts = silver.groupBy("site_id", "probable_cause").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.struct((-F.col("n")).alias("n"), F.col("probable_cause").isNull().alias("none"), "probable_cause")
+    top = counts.groupBy("site_id").agg(F.min(rank).alias("top"), F.sum("n").alias("total"))
+    return top.select(
+        "site_id",
+        F.col("top.probable_cause").alias("probable_cause"),
+        (-F.col("top.n")).alias("alarms"),
+        F.round(-F.col("top.n") / F.col("total"), 4).alias("share"),
+    )
+
+
 def severity_by_region(silver: DataFrame) -> DataFrame:
     return silver.groupBy("region", "severity").agg(F.count(F.lit(1)).alias("alarms"))
 

@@ -12,12 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators.dedupe import flag_first
-from faultline.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, bounded_broadcast
+from faultline.operators import contract
+from faultline.operators.contract import REASONS
+from faultline.operators.joins import DEFAULT_BROADCAST_MAX_BYTES
 from faultline.schemas import ALARM_COLUMNS
 
-REASONS = "reasons"
-
 # The rule names of the Silver contract.
 SILVER_RULES = ("first_copy_of_alarm", "site_id_not_null", "severity_not_null", "site_known")
 
@@ -66,6 +65,26 @@ def expectation_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return totals.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, failed_rows)", "total_rows")
 
 
+def silver_rules(sites: DataFrame) -> list[contract.Rule]:
+    """The Silver contract as data."""
+    first, has_site, has_severity, known = SILVER_RULES
+    return [
+        contract.FirstCopy(first, "alarm_id", ("raised_ts",)),
+        contract.RowRule(has_site, F.col("site_id").isNotNull()),
+        contract.RowRule(has_severity, F.col("severity").isNotNull()),
+        contract.KnownKey(known, "site_id", sites, "site_id"),
+    ]
+
+
+def feed_rules(sites: DataFrame) -> list[contract.Rule]:
+    """The Silver contract and what is asked of the feed as a whole."""
+    return [
+        *silver_rules(sites),
+        contract.UniqueKey("alarm_id_unique", "alarm_id"),
+        contract.SetRule("feed_not_empty", F.count(F.lit(1)) > 0),
+    ]
+
+
 def silver_rejects(
     alarms: DataFrame,
     sites: DataFrame,
@@ -75,21 +94,10 @@ def silver_rejects(
 
     A row reaches Silver exactly when it passes every rule: it is the first
     copy of its ``alarm_id`` (by ``raised_ts``), its ``site_id`` and
-    ``severity`` are set and its site exists.
+    ``severity`` are set and its site exists. Only the ids that occur more than once and the
+    offending rows are shuffled.
     """
-    flagged = flag_first(alarms.select(*ALARM_COLUMNS), "alarm_id", ["raised_ts"], flag="_first")
-    known = bounded_broadcast(
-        sites.select("site_id").distinct().withColumn("_known", F.lit(True)), max_broadcast_bytes
-    )
-    tagged = flagged.join(known, "site_id", "left")
-    predicates = [
-        F.col("_first"),
-        F.col("site_id").isNotNull(),
-        F.col("severity").isNotNull(),
-        F.col("site_id").isNull() | F.col("_known").isNotNull(),
-    ]
-    _, rejected = expect(tagged, dict(zip(SILVER_RULES, predicates, strict=True)))
-    return rejected.select(*ALARM_COLUMNS, REASONS)
+    return contract.rejects(alarms.select(*ALARM_COLUMNS), silver_rules(sites), max_broadcast_bytes)
 
 
 def silver_expectation_counts(alarms: DataFrame, sites: DataFrame) -> DataFrame:

@@ -11,17 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.operators import contract
 from faultline.operators import forecast as FC
 from faultline.operators import governance as G
 from faultline.operators import grading as GR
 from faultline.operators import metrics as M
 from faultline.operators import profile as P
 from faultline.operators import quality as Q
+from faultline.operators import sketches as SK
 from faultline.operators.dedupe import dedupe_first
+from faultline.operators.impact import impact
 from faultline.operators.joins import bounded_broadcast
 from faultline.operators.medallion import build_gold, build_silver
+from faultline.operators.smoothing import forecast_smoothed
+from faultline.plans.catalog import compile_metrics
 from faultline.plans.pipeline import Layers
 from faultline.schemas import ALARM_COLUMNS
+from faultline.sources import footers
 from faultline.sources import generate as GEN
 from faultline.sources.fixtures import AUDIT_AS_OF, AUDIT_TABLE, alarms_from_events
 from faultline.sources.tables import preview, read_files_sql, scan_named, table_path
@@ -31,6 +37,16 @@ FORECAST_DAYS = 7
 HISTOGRAM_WIDTH_MIN = 60
 UPSTREAM_OF = AUDIT_TABLE
 DOWNSTREAM_OF = "main.net.s3"
+IMPACT_OF = "main.net.n1"
+ORIGINS_OF = "main.net.n5"
+SKETCH_DAYS = ("2024-01-11", "2024-01-24")
+DASHBOARD = {
+    "network": ((), ("sites", "total_alarms", "critical_alarms", "active_alarms", "avg_mttr_min")),
+    "regions": (("region",), ("sites", "total_alarms", "critical_alarms", "fault_score", "avg_mttr_min")),
+    "vendors": (("vendor",), ("sites", "fault_score", "active_share")),
+    "region_vendors": (("region", "vendor"), ("fault_score", "active_alarms")),
+    "equipment": (("equipment_type",), ("sites", "critical_alarms", "active_share")),
+}
 SITES_VIEW = "faultline_sites"
 # Sites of the changed copies in ``gold_duplicate_sites``: one in so many.
 CHANGED_SITE_ONE_IN = 50
@@ -270,6 +286,12 @@ def q_expectation_counts(L: Layers) -> DataFrame:
     return Q.silver_expectation_counts(L.alarms(), L.sites())
 
 
+@register("feed_contract")
+def q_feed_contract(L: Layers) -> DataFrame:
+    """Six rules about rows, keys, references and the whole feed, given as data."""
+    return contract.report(L.alarms(), Q.feed_rules(L.sites()))
+
+
 @register("silver_validation")
 def q_silver_validation(L: Layers) -> DataFrame:
     """The raw feed is read as a path table inside SQL."""
@@ -294,6 +316,25 @@ def q_clear_time_summary(L: Layers) -> DataFrame:
     return M.clear_time_summary(L.silver(), "region")
 
 
+@register("clear_time_sketched")
+def q_clear_time_sketched(L: Layers) -> DataFrame:
+    """Quantiles of a window of days from the daily sketches per region."""
+    daily = SK.quantile_sketch(L.silver(), ["event_date", "region"], "time_to_clear_min")
+    window = daily.where(F.col("event_date").between(*SKETCH_DAYS))
+    return SK.sketched_quantiles(SK.merge_quantiles(window, ["region"]), ["region"], [25, 50, 75, 95])
+
+
+@register("site_top_cause")
+def q_site_top_cause(L: Layers) -> DataFrame:
+    return M.top_cause_by_site(L.silver())
+
+
+@register("dashboard_metrics")
+def q_dashboard_metrics(L: Layers) -> DataFrame:
+    """Five reports of the dashboard from one pass over Gold."""
+    return compile_metrics(L.gold(), DASHBOARD)
+
+
 # ---- governance ------------------------------------------------------------
 
 
@@ -322,6 +363,27 @@ def q_lineage_downstream(L: Layers) -> DataFrame:
     return G.lineage(L.feeds.lineage(), DOWNSTREAM_OF, "downstream")
 
 
+@register("lineage_impact")
+def q_lineage_impact(L: Layers) -> DataFrame:
+    return impact(L.feeds.table_graph(), IMPACT_OF, "downstream")
+
+
+@register("lineage_origins")
+def q_lineage_origins(L: Layers) -> DataFrame:
+    return impact(L.feeds.table_graph(), ORIGINS_OF, "upstream")
+
+
+@register("usage_rolling")
+def q_usage_rolling(L: Layers) -> DataFrame:
+    return G.usage_rolling(L.feeds.audit(), 30)
+
+
+@register("frequent_tables_sketched")
+def q_frequent_tables_sketched(L: Layers) -> DataFrame:
+    """From daily sketches; exact up to a few hundred users a table."""
+    return G.frequent_tables_sketched(G.usage_sketch(L.feeds.audit()), AUDIT_AS_OF.date(), 30, 10)
+
+
 @register("frequent_users")
 def q_frequent_users(L: Layers) -> DataFrame:
     return G.frequent_users(L.feeds.audit(), AUDIT_AS_OF, 30, 10)
@@ -340,7 +402,12 @@ def q_usage_notices(L: Layers) -> DataFrame:
 
 @register("table_file_stats")
 def q_table_file_stats(L: Layers) -> DataFrame:
-    return G.table_file_stats(L.spark, table_path(L.sf_dir, "events"))
+    return footers.file_stats(L.spark, table_path(L.sf_dir, "events"))
+
+
+@register("table_column_stats")
+def q_table_column_stats(L: Layers) -> DataFrame:
+    return footers.column_stats(L.spark, table_path(L.sf_dir, "events"))
 
 
 # ---- forecast --------------------------------------------------------------
@@ -357,6 +424,13 @@ def q_daily_forecast_weekly(L: Layers) -> DataFrame:
     return FC.forecast(daily, "ds", "alarm_count", horizon_days=FORECAST_DAYS, floor=0.0, weekly=True)
 
 
+@register("daily_forecast_smoothed")
+def q_daily_forecast_smoothed(L: Layers) -> DataFrame:
+    """Per region, with trend and weekly season."""
+    daily = M.daily_alarms(L.silver(), "region")
+    return forecast_smoothed(daily, "ds", "alarm_count", FORECAST_DAYS, group_col="region")
+
+
 @register("alarm_forecast")
 def q_alarm_forecast(L: Layers) -> DataFrame:
     daily = M.daily_alarms(L.silver())

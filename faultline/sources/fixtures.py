@@ -134,6 +134,15 @@ def lineage_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def table_graph_from_orders(orders: DataFrame) -> DataFrame:
+    """Lineage among many tables: customers' tables feed those of their orders, two orders to a table."""
+    return orders.select(
+        F.format_string("main.net.n%d", F.col("o_custkey")).alias("source_table_full_name"),
+        F.format_string("main.net.n%d", F.floor(F.col("o_orderkey") / 2)).alias("target_table_full_name"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("event_time"),
+    )
+
+
 def truths_from_customers(customer: DataFrame) -> DataFrame:
     """Ground truth per graded case: the customer name."""
     return customer.select(F.col("c_custkey").cast("bigint").alias("case_id"), F.col("c_name").alias("truth"))
@@ -189,6 +198,9 @@ class Feeds:
     def lineage(self) -> DataFrame:
         return lineage_from_orders(self.table("orders"))
 
+    def table_graph(self) -> DataFrame:
+        return table_graph_from_orders(self.table("orders"))
+
     def truths(self) -> DataFrame:
         return truths_from_customers(self.table("customer"))
 

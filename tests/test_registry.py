@@ -51,7 +51,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle_or_is_listed():
     no_sql = set(queries()) - set(oracle_sql())
-    assert no_sql == {"table_file_stats"}
+    assert no_sql == set()
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -63,7 +63,8 @@ def test_query_matches_oracle(spark, con, name):
     if sql is None:
         assert len(s_rows) >= 1
         return
-    cur = con.execute(sql)
+    # One statement reads footers and so names a folder; here it is this one.
+    cur = con.execute(sql.replace("/root/testdata/sf0.01", SF_SMALL))
     d_cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(d_cols)
     duck_types = {c[0]: str(c[1]).upper() for c in cur.description}
