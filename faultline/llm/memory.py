@@ -10,7 +10,7 @@ import numpy as np
 
 # About 40 MB: a word, its dictionary entry and its numbers take some 250 bytes.
 MAX_WORDS = 160_000
-# New words go to the tokenizer so many at a time.
+# New words go to the tokenizer so many at a time, unless the caller says otherwise.
 ENCODE_WORDS = 4096
 
 Encode = Callable[[list], tuple[list[np.ndarray], np.ndarray]]
@@ -45,8 +45,8 @@ class WordMemory:
     are known after it, the half that came most often stays.
     """
 
-    def __init__(self, encode: Encode, width: int, max_words: int = MAX_WORDS):
-        self.encode, self.max_words = encode, max_words
+    def __init__(self, encode: Encode, width: int, max_words: int = MAX_WORDS, batch: int = ENCODE_WORDS):
+        self.encode, self.max_words, self.batch = encode, max_words, batch
         self.numbers = _Numbers()
         self.columns = [np.empty(1024, np.int32) for _ in range(width)]
         self.first, self.size, self.seen = (np.zeros(1024, np.int32) for _ in range(3))
@@ -64,8 +64,8 @@ class WordMemory:
         words, at = self.numbers.new, len(self.numbers) - len(self.numbers.new)
         self.numbers.new = []
         self.first, self.size, self.seen = (self._room(a, len(self.numbers)) for a in (self.first, self.size, self.seen))
-        for s in range(0, len(words), ENCODE_WORDS):
-            made, n = self.encode(words[s : s + ENCODE_WORDS])
+        for s in range(0, len(words), self.batch):
+            made, n = self.encode(words[s : s + self.batch])
             total = int(n.sum())
             self.size[at : at + len(n)] = n
             self.first[at : at + len(n)] = self.used + np.cumsum(n) - n
