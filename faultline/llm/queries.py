@@ -45,11 +45,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as WARC archives with revisits, and read back."""
+    """All pages written as WARC archives with revisits, and read back without a gap."""
     path = shared_path(spark, "archives")
     rows = warc.with_revisits(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
-    cut(warc.write_warc(rows, path), "archive-list")
-    read = warc.read_warc(spark, path, with_payload=False).where("kind = 'record'")
+    archives = cut(warc.write_warc(rows, path), "archive-list")
+    read = warc.read_back(spark, path, archives)
     number = lambda c: F.expr(f"try_cast(substring({c}, 10) as bigint)")
     return read.select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",

@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.llm.common import cut
+
 ARCHIVE_BYTES = 16 << 20
 MIN_REVISIT_BYTES = 1000
 INFLATE_STEP = 1 << 16
@@ -94,7 +96,12 @@ def record_bytes(id_, uri, payload, n, digest, refers_to, date: str) -> bytes:
 
 
 def write_warc(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z", level: int = 4) -> DataFrame:
-    """Write the rows of ``with_revisits`` as archives in ``path``; ``(archive, records, bytes)`` per archive."""
+    """Write the rows of ``with_revisits`` as archives in ``path``; ``(archive, records, bytes)`` per archive.
+
+    Every row is a record, repeated rows too. A null id or uri leaves its header empty or out, a null
+    payload is empty; uris and payloads may be of any length. An empty table writes no archive. An
+    archive has its name only once it is whole, so a task that is run again leaves no half ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = pafs.FileSystem.from_uri(path)
@@ -243,9 +250,37 @@ def salvage(content: bytes | memoryview, plain: bool = False) -> Iterator[dict]:
         yield gap(len(data))
 
 
+class LostRecords(RuntimeError):
+    """Archives that were read back with byte gaps or without all their records."""
+
+
+def read_back(spark: SparkSession, path: str, archives: DataFrame, with_payload: bool = False) -> DataFrame:
+    """The records of the archives that ``write_warc`` reported, read from ``path`` and checked.
+
+    What is read is written as files first, so the archives are read once. Byte gaps are logged as
+    rows of ``archive, offset, length, reason`` in the folder ``<path>-gaps``. If there are any, or
+    records are missing otherwise, ``LostRecords`` names the log and the numbers; the records that
+    were salvaged stay readable by ``read_warc``. No archives (an empty table) give no rows.
+    """
+    written = archives.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    if not written:
+        return spark.createDataFrame([], RECORD_SCHEMA)
+    found = cut(read_warc(spark, path, with_payload), "archive-records")
+    gaps = found.where("kind = 'gap'").select("archive", "offset", "length", "reason")
+    gaps.write.parquet(f"{path}-gaps")
+    records = found.where("kind = 'record'")
+    read, lost = records.count(), spark.read.schema(gaps.schema).parquet(f"{path}-gaps").count()
+    if lost or read != written:
+        raise LostRecords(f"{read} of {written} records were read back; {lost} gaps are logged in {path}-gaps")
+    return records
+
+
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Records and gaps of the archives in ``path`` (columns of ``RECORD_SCHEMA``).
 
+    Repeated records are all read; an archive without bytes has no rows; a folder that does not exist
+    is an error.
+
     ``kind`` is ``record`` or ``gap``. For a revisit, digest and length are those its headers
     name for the full payload. One archive is in memory at a time, beside the output batch.
     """

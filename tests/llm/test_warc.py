@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import glob
 import gzip
 import hashlib
 import tempfile
 
+import pytest
+
 from faultline.llm import warc
 from faultline.llm.common import cut
+from faultline.llm.queries import op2_warc
 
 SCHEMA = "page_id bigint, url string, html string, payload string, offset int"
 BIG = "<p>é</p>" * 200
@@ -52,10 +56,45 @@ def test_long_urls_and_http_heads_are_read(spark):
     assert read[1]["reason"] == "headers do not end"
 
 
-def test_empty_table(spark):
-    path = tempfile.mkdtemp(prefix="faultline-warc-")
+def test_empty_table(spark, tmp_path):
+    path = tempfile.mkdtemp(prefix="faultline-warc-") + "/none"
     records = warc.with_revisits(pages(spark, []), "page_id", "url", "html")
-    assert cut(warc.write_warc(records, path), "archives").count() == 0
+    archives = cut(warc.write_warc(records, path), "archives")
+    assert archives.count() == 0 and warc.read_back(spark, path, archives).count() == 0
+    pages(spark, []).write.parquet(str(tmp_path / "pages.parquet"))
+    assert op2_warc(spark, str(tmp_path)).count() == 0
+
+
+def test_damage_between_writing_and_reading_is_logged_and_raised(spark, tmp_path, monkeypatch):
+    pages(spark, [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(20)]).coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    damaged, write = [], warc.write_warc
+
+    def write_and_damage(records, path, **kw):
+        archives = cut(write(records, path, **kw), "archives")
+        first = sorted(glob.glob(path.removeprefix("file:") + "/*.gz"))[0]
+        with open(first, "r+b") as f:
+            f.seek(3)
+            f.write(b"\xff" * 40)
+        damaged.append(path)
+        return archives
+
+    monkeypatch.setattr(warc, "write_warc", write_and_damage)
+    with pytest.raises(warc.LostRecords, match="1 gaps are logged"):
+        op2_warc(spark, str(tmp_path))
+    log = spark.read.parquet(f"{damaged[0]}-gaps").collect()
+    assert len(log) == 1 and log[0]["offset"] == 0 and log[0]["length"] > 40
+    # The other records of the archives are still there.
+    kinds = [r["kind"] for r in warc.read_warc(spark, damaged[0]).collect()]
+    assert kinds.count("record") == 19 and kinds.count("gap") == 1
+
+
+def test_nulls_and_repeated_rows_come_back(spark):
+    rows = [(1, None, None), (None, "u", BIG), (2, "u", BIG), (2, "u", BIG), (3, "v", "")]
+    path = tempfile.mkdtemp(prefix="faultline-warc-") + "/a"
+    archives = cut(warc.write_warc(warc.with_revisits(pages(spark, rows), "page_id", "url", "html"), path), "archives")
+    got = warc.read_back(spark, path, archives).collect()
+    assert sorted(r["payload_bytes"] for r in got) == sorted(len((h or "").encode()) for _, _, h in rows)
+    assert all(r["record_type"] == "response" for r in got)
 
 
 def member(i, body):
