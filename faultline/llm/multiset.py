@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import cut, materialised, running
+from faultline.llm.common import cut, materialised, running, whole_row
 
 STRONG = 4
 SKETCH = 32
@@ -44,8 +44,12 @@ def _sum(values: Column, of) -> Column:
 
 
 def paragraph_sum(lines: Column, hashes: Column) -> Column:
-    """The vector of a list of paragraphs, given as a column, and the hashes of their pieces."""
-    strong = [_sum(lines, lambda p, j=j: F.xxhash64(p, F.lit(j)).bitwiseAND(F.lit(MODULUS_MASK))) for j in range(STRONG)]
+    """The vector of a list of paragraphs, given as a column, and the hashes of their pieces.
+
+    Each strong lane hashes the paragraph itself from a seed of its own (the hash of the lane's
+    number), so paragraphs that agree in one lane are no more alike in the others.
+    """
+    strong = [_sum(lines, lambda p, j=j: F.xxhash64(F.lit(j), p).bitwiseAND(F.lit(MODULUS_MASK))) for j in range(STRONG)]
     sketch = [
         _sum(hashes, lambda h, j=j: F.shiftrightunsigned(h, j).bitwiseAND(F.lit(FIELDS_MASK))) for j in range(SKETCH)
     ]
@@ -86,10 +90,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``docs`` with the vector of the whole text in column ``name`` (a null text is empty)."""
+    """``docs`` with the vector of the whole text in column ``name`` (a null text is empty).
+
+    A column of that name is replaced; all others stay, whatever their names.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = materialised(docs, "_hashes", piece_hashes(text))
-    return hashed.withColumn(name, paragraph_sum(lines_of(text), F.col("_hashes"))).drop("_hashes")
+    hashed = materialised(docs.select(whole_row(docs), text.alias("_text")), "_hashes", piece_hashes(F.col("_text")))
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != name]
+    return hashed.select(*kept, paragraph_sum(lines_of(F.col("_text")), F.col("_hashes")).alias(name))
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
