@@ -1,15 +1,20 @@
 """Operator 5: quality rules whose cutoffs are risk-controlled. DataFrame functions only.
 
-Each rule is a measure of badness between 0 and 1; a document fails it at or above a cutoff.
-For every stratum, rule and cutoff the labelled good documents that passed the base rules give n
-and the k among them that would fail. The hypothesis "the rule rejects more than a share r of good
-documents" is tested by its exact binomial p-value P(Bin(n, r) <= k). Per rule and stratum the
-cutoffs are tested from the mildest down, which needs no correction inside the sequence (k only
-grows); over rules and strata the error level is divided by their number (Bonferroni). The share
-allowed to all rules together is divided by the number of rules. So with confidence
-``1 - error`` every stratum loses at most ``risk`` of its good documents to these rules. Among the
-certified cutoffs the one that catches most labelled bad documents is used, the mildest on a tie;
-a rule without a certified cutoff that catches anything rejects nothing in that stratum.
+Each rule is a measure of badness between 0 and 1; a document fails it at or above a cutoff. Labelled
+documents that passed the base rules are split by a hash of their id:
+
+* on a quarter of them (``SELECT``) every stratum picks its rules: per rule the cutoff half-way between
+  the worst of the quarter's good documents and the next bad one beyond. Rules without a bad document
+  beyond all good ones are dropped; the others are put in order, most bad documents caught first;
+* on the rest the first rule, the first two together, and so on are tested as unions: with n good
+  documents of which the union rejects k, "the union rejects more than a share r of good documents"
+  has the exact binomial p-value P(Bin(n, r) <= k). Unions only grow, so they are tested in that
+  fixed order and the first that fails ends the sequence, which needs no correction inside a
+  stratum; over the strata the error level is divided by their number (Bonferroni).
+
+The longest certified union is used. So with confidence ``1 - error`` every stratum loses at most
+``risk`` of its good documents to these rules, all together; a stratum without a certified union
+rejects nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +31,10 @@ RULES = ("symbols", "dup_lines", "repeats", "marks", "capitals")
 STEPS = 50
 RISK = 0.02
 ERROR = 0.05
-MAX_TERMS = 4000
+# One labelled document in so many selects the rules, the others certify them.
+SELECT = 4
+SPLIT_SEED = 5
+TAIL = 12
 SMALL_ROWS = 100_000
 
 
@@ -105,13 +113,17 @@ def _log_gamma(x: Column) -> Column:
 
 
 def binomial_p(k: Column, n: Column, r: float) -> Column:
-    """P(Bin(n, r) <= k) for k below n * r, else 1. The terms from k down are summed exactly, up to
-    ``MAX_TERMS``; what is left is bounded from above by a geometric series."""
+    """P(Bin(n, r) <= k) for k below n * r, else 1: the sum of the terms from k down.
+
+    Below the mean each term is less than the one above it, and ``TAIL`` root k terms further down
+    they are under 1e-16 of the first: from there on they do not show in a double.
+    """
     k, n = k.cast("double"), n.cast("double")
     top = _log_gamma(n + 1) - _log_gamma(k + 1) - _log_gamma(n - k + 1) + k * math.log(r) + (n - k) * math.log1p(-r)
     ratio = lambda i: i * ((1 - r) / r) / (n - i + 1)
-    down = F.when(k >= 1, F.sequence(k.cast("int"), F.greatest(F.lit(1), k.cast("int") - MAX_TERMS + 1), F.lit(-1)))
-    down = F.coalesce(down, F.array().cast("array<int>"))
+    least = F.greatest(F.lit(1.0), k - F.ceil(F.sqrt(k) * TAIL + 200))
+    down = F.when(k >= 1, F.sequence(k.cast("bigint"), least.cast("bigint"), F.lit(-1).cast("bigint")))
+    down = F.coalesce(down, F.array().cast("array<bigint>"))
     total = F.aggregate(
         down,
         F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
@@ -119,37 +131,77 @@ def binomial_p(k: Column, n: Column, r: float) -> Column:
             (acc["term"] * ratio(i)).alias("term"), (acc["sum"] + acc["term"] * ratio(i)).alias("sum")
         ),
     )
-    left = F.greatest(k - MAX_TERMS, F.lit(0.0))
-    tail = F.when(left >= 1, total["term"] * ratio(left) / (1 - ratio(left))).otherwise(0.0)
-    return F.when(k < n * r, F.least(F.lit(1.0), F.exp(top) * (total["sum"] + tail))).otherwise(1.0)
-
+    return F.when(k < n * r, F.least(F.lit(1.0), F.exp(top) * total["sum"])).otherwise(1.0)
 
-def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """``(stratum, rule, cutoff, n, k, bad_caught, p)``: the cutoff used per stratum and rule.
 
-    ``labels`` has ``doc_id, quality`` (1 good, 0 bad); a document with several labels is good if
-    none is 0. The work is one partial aggregate over labelled rows into strata x rules x steps.
-    """
-    good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
+def _labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, stratum, good, levels, selects`` of the labelled rows that passed the base rules."""
+    good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
     passed = measured.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    held = passed.join(good, "doc_id").select("stratum", "good", F.posexplode(_levels()).alias("rule", "level"))
-    cells = held.groupBy("stratum", "rule", "level").agg(
-        F.count_if(F.col("good") == 1).alias("g"), F.count_if(F.col("good") != 1).alias("b")
+    selects = F.pmod(F.xxhash64(F.lit(SPLIT_SEED), "doc_id"), F.lit(SELECT)) == 0
+    return passed.join(good, "doc_id").select(
+        "doc_id", "stratum", (F.col("q") == 1).alias("good"), _levels().alias("levels"), selects.alias("selects")
     )
-    down = Window.partitionBy("stratum", "rule").orderBy(F.desc("level"))
-    whole = Window.partitionBy("stratum", "rule")
-    tried = cut(cells.select(
-        "stratum", "rule", F.col("level").alias("cutoff"), F.sum("g").over(down).alias("k"),
-        F.sum("b").over(down).alias("bad_caught"), F.sum("g").over(whole).alias("n"),
-    ), "risk-cells")
-    tests = tried.groupBy("stratum", "rule").agg(F.lit(1)).count()
-    allowed = risk / len(RULES)
-    sure = tried.withColumn("p", binomial_p(F.col("k"), F.col("n"), allowed))
-    sure = sure.where((F.col("p") <= error / max(tests, 1)) & (F.col("cutoff") > 0) & (F.col("bad_caught") > 0))
-    best = sure.groupBy("stratum", "rule").agg(
-        F.max_by(F.struct("cutoff", "n", "k", "bad_caught", "p"), F.struct("bad_caught", "cutoff")).alias("c")
+
+
+def sequences(labelled: DataFrame) -> DataFrame:
+    """``stratum, steps``: the rules of each stratum in order, as ``rule`` (its number) and ``cutoff``,
+    from the selecting rows alone. The aggregates have strata x rules x levels rows."""
+    each = labelled.where("selects").select("stratum", "good", F.posexplode("levels").alias("rule", "level"))
+    cells = each.groupBy("stratum", "rule", "level").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
+    # From one above the highest level of a good document, half-way to the lowest bad one beyond.
+    best = cells.groupBy("stratum", "rule").agg((F.coalesce(F.max(F.when(F.col("g") > 0, F.col("level"))), F.lit(0)) + 1).alias("cutoff"))
+    side = best.select(F.col("stratum").alias("s"), F.col("rule").alias("r"), "cutoff")
+    caught = cells.join(side, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("rule") == F.col("r")))
+    beyond = caught.where((F.col("level") >= F.col("cutoff")) & (F.col("b") > 0))
+    half_way = F.ceil((F.col("cutoff") + F.min("level")) / 2).cast("int")
+    caught = beyond.groupBy("stratum", "rule", "cutoff").agg(F.sum("b").alias("b"), half_way.alias("half_way"))
+    caught = caught.select("stratum", "rule", "b", F.col("half_way").alias("cutoff"))
+    # At most as many steps as rules.
+    steps = F.sort_array(F.collect_list(F.struct((-F.col("b")).alias("b"), "rule", "cutoff")))
+    return caught.groupBy("stratum").agg(F.transform(steps, lambda x: F.struct(x["rule"].alias("rule"), x["cutoff"].alias("cutoff"))).alias("steps"))
+
+
+def _first_step(levels: Column, steps: Column) -> Column:
+    """The place (from 1) of the first step that rejects a document; null for none."""
+    hits = F.transform(steps, lambda x, i: F.when(F.element_at(levels, x["rule"] + 1) >= x["cutoff"], i + 1))
+    return F.array_min(hits)
+
+
+def certified(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """``stratum, steps, n, k, bad, bad_caught, p``: the certified union per stratum, if it has one.
+
+    ``steps`` lists its rules and cutoffs; n, k and p are of the certifying rows' good documents,
+    ``bad_caught`` of ``bad`` of their bad ones. ``labels`` has ``doc_id, quality`` (1 good, 0 bad); a
+    document with several labels is good if none is 0.
+    """
+    labelled = cut(_labelled(measured, labels), "risk-labelled")
+    chosen = cut(sequences(labelled), "risk-sequences")
+    side = chosen.select(F.col("stratum").alias("s"), "steps")
+    # One small row per stratum; past the bound both sides are dealt by stratum.
+    side = F.broadcast(side) if chosen.count() <= SMALL_ROWS else side
+    rows = labelled.where("not selects").join(side, F.col("stratum").eqNullSafe(F.col("s")))
+    rows = rows.select("stratum", "good", "steps", _first_step(F.col("levels"), F.col("steps")).alias("first"))
+    counts = rows.groupBy("stratum", "first").agg(
+        F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"), F.first("steps").alias("steps")
     )
-    return best.select("stratum", "rule", "c.*")
+    # Every step has a row, also one that rejects nothing beyond the steps before it.
+    whole = counts.groupBy("stratum").agg(
+        F.sum("g").alias("n"), F.sum("b").alias("bad"), F.first("steps").alias("steps"),
+        F.map_from_entries(F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", F.struct("g", "b"))))).alias("of"),
+    )
+    steps = whole.select("stratum", "n", "bad", "steps", "of", F.explode(F.sequence(F.lit(1), F.size("steps"))).alias("step"))
+    upto = Window.partitionBy("stratum").orderBy("step")
+    cell = F.try_element_at("of", F.col("step"))
+    steps = steps.select(
+        "stratum", "n", "bad", "steps", "step", F.sum(F.coalesce(cell["g"], F.lit(0))).over(upto).alias("k"),
+        F.sum(F.coalesce(cell["b"], F.lit(0))).over(upto).alias("bad_caught"),
+    )
+    strata = max(1, chosen.count())
+    tested = steps.withColumn("p", binomial_p(F.col("k"), F.col("n"), risk))
+    tested = tested.withColumn("sure", F.min((F.col("p") <= error / strata).cast("int")).over(upto) == 1).where("sure")
+    last = tested.groupBy("stratum").agg(F.max_by(F.struct("steps", "step", "n", "k", "bad", "bad_caught", "p"), "step").alias("c"))
+    return last.select("stratum", F.slice("c.steps", F.lit(1), F.col("c.step")).alias("steps"), "c.n", "c.k", "c.bad", "c.bad_caught", "c.p")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
@@ -157,21 +209,21 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The measures of every row with ``base_failed``, ``failed_rules`` and ``kept``.
 
     Rows that fail the base rules are not kept; the others are kept unless a certified rule of
-    their stratum (null is a stratum of its own) rejects them. Without labels no rule is
-    certified. Repeated rows are judged alike; an empty table gives no rows; other columns are
+    their stratum (null is a stratum of its own) rejects them. ``failed_rules`` names certified
+    rules, in the order of ``RULES``. Without labels no rule is certified. Repeated rows are judged alike; an empty table gives no rows; other columns are
     not read.
     """
     measured = cut(measures(docs, id_col, text_col, stratum_col), "risk-measures")
-    chosen = cut(cutoffs(measured, labels, risk, error), "risk-cutoffs")
-    limits = chosen.groupBy("stratum").agg(
-        *[F.max(F.when(F.col("rule") == i, F.col("cutoff"))).alias(f"c{i}") for i in range(len(RULES))]
-    ).withColumnRenamed("stratum", "s")
+    chosen = cut(certified(measured, labels, risk, error), "risk-certified")
+    side = chosen.select(F.col("stratum").alias("s"), "steps")
     if chosen.count() <= SMALL_ROWS:
-        limits = F.broadcast(limits)
+        side = F.broadcast(side)
     # Past the bound both sides are dealt by stratum; adaptive execution splits a hot one.
-    judged = measured.join(limits, F.col("stratum").eqNullSafe(F.col("s")), "left").withColumn("level", _levels())
-    fails = [F.when(F.element_at("level", i + 1) >= F.col(f"c{i}"), F.lit(r)) for i, r in enumerate(RULES)]
+    judged = measured.join(side, F.col("stratum").eqNullSafe(F.col("s")), "left").withColumn("levels", _levels())
+    names = F.array(*[F.lit(r) for r in RULES])
+    hit = F.filter("steps", lambda x: F.element_at(F.col("levels"), x["rule"] + 1) >= x["cutoff"])
+    failed = F.transform(F.array_sort(F.transform(hit, lambda x: x["rule"])), lambda i: F.element_at(names, i + 1))
     judged = judged.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    judged = judged.withColumn("failed_rules", F.array_compact(F.array(*fails)))
+    judged = judged.withColumn("failed_rules", F.coalesce(failed, F.array().cast("array<string>")))
     judged = judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-    return judged.drop("s", "level", *[f"c{i}" for i in range(len(RULES))])
+    return judged.drop("s", "steps", "levels")

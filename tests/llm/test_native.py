@@ -136,5 +136,89 @@ def test_cutoffs_hold_their_risk(spark, make):
     good = [g for i, g in got.items() if i % 5]
     assert sum(not g["kept"] for g in good) <= risk.RISK * len(good)
     assert all(not g["kept"] for i, g in got.items() if i % 5 == 0 and i % 30)
-    # The null stratum has too few labels for any certified cutoff: nothing is rejected there.
+    # The null stratum has bad documents only: nothing can be certified, nothing is rejected there.
     assert all(g["kept"] for i, g in got.items() if i % 30 == 0)
+
+
+def slow_certified(rows, risk_share=0.02, error=0.05):
+    """``{stratum: (steps, n, k)}`` from rows of stratum, good, levels, selects."""
+    out, strata = {}, sorted({r[0] for r in rows}, key=str)
+    plans = {}
+    for s in strata:
+        mine = [r for r in rows if r[0] == s and r[3]]
+        steps = []
+        for rule in range(len(risk.RULES)):
+            worst = max([r[2][rule] for r in mine if r[1]], default=0) + 1
+            beyond = [r[2][rule] for r in mine if not r[1] and r[2][rule] >= worst]
+            if beyond:
+                steps.append((-len(beyond), rule, math.ceil((worst + min(beyond)) / 2)))
+        if steps:
+            plans[s] = [x[1:] for x in sorted(steps)]
+    for s, steps in plans.items():
+        good = [r for r in rows if r[0] == s and not r[3] and r[1]]
+        for i in range(1, len(steps) + 1):
+            k = sum(any(r[2][rule] >= c for rule, c in steps[:i]) for r in good)
+            n, q = len(good), risk_share
+            p = sum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(q) + (n - j) * math.log1p(-q)) for j in range(k + 1)) if k < n * q else 1.0
+            if p > error / len(plans):
+                break
+            out[s] = (steps[:i], n, k)
+    return out
+
+
+def test_certified_unions_match_plain_python_and_hold_on_other_rows(spark, make):
+    """Three strata: one with two useful rules, one where a rule rejects too many, one with few labels."""
+    r = random.Random(7)
+    rows, labels = [], []
+    for i in range(6000):
+        stratum, bad = ["en", "en", "de", "en", "de", None][i % 6], r.random() < 0.15
+        words = [f"w{r.randrange(5000)}" for _ in range(60)]
+        if bad and r.random() < 0.6:
+            words = [w + "$$" for w in words]
+        elif bad:
+            words = [w + "!" for w in words]
+        elif stratum == "de" and r.random() < 0.04:
+            words = [w + "!!" for w in words]
+        if stratum is None and i > 900:
+            continue
+        rows.append((i, " ".join(words), stratum, "s"))
+        if i % 2:
+            labels.append((i, int(not bad)))
+    table = spark.createDataFrame([*labels, labels[0], (None, 1), (labels[1][0], None)], "doc_id bigint, quality int")
+    measured = risk.measures(make(rows))
+    plain = [tuple(x) for x in risk._labelled(measured, table).select("stratum", "good", "levels", "selects").collect()]
+    want = slow_certified(plain)
+    got = {c["stratum"]: ([tuple(x) for x in c["steps"]], c["n"], c["k"]) for c in risk.certified(measured, table).collect()}
+    assert got == want and "en" in got and None not in got
+    # Rows without a label took no part in the choice.
+    judged = {g["doc_id"]: g for g in risk.judge(make(rows), table).collect()}
+    held = [g for i, g in judged.items() if i not in dict(labels)]
+    for g in held:
+        steps = want.get(g["stratum"], ([],))[0]
+        assert g["failed_rules"] == [risk.RULES[k] for k in sorted(k for k, c in steps if level(g, k) >= c)]
+    clean = [g for g in held if g["n_symbols"] == 0 and g["n_marks"] == 0]
+    assert sum(not g["kept"] for g in clean) <= risk.RISK * len(clean)
+
+
+def level(g, rule):
+    over = {"symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"),
+            "marks": ("n_marks", "n_words"), "capitals": ("n_capitals", "word_chars")}[risk.RULES[rule]]
+    return math.floor(min(g[over[0]] / max(g[over[1]], 1), 1.0) * risk.STEPS)
+
+
+def test_strong_lanes_are_not_functions_of_each_other(spark):
+    """A lane hashes the paragraph itself: it cannot be had from another lane and the lane's number."""
+    rows = spark.range(200).select(F.concat(F.lit("paragraph "), "id").alias("p"))
+    lanes = rows.select("p", multiset.paragraph_sum(F.array("p"), F.array().cast("array<bigint>")).alias("v"), F.xxhash64("p").alias("h"))
+    mask = F.lit(multiset.MODULUS_MASK)
+    for j in range(multiset.STRONG):
+        chained = lanes.where(F.element_at("v", j + 1) == F.xxhash64("p", F.lit(j)).bitwiseAND(mask)).count()
+        own = lanes.where(F.element_at("v", j + 1) == F.xxhash64(F.lit(j), F.col("p")).bitwiseAND(mask)).count()
+        assert (chained, own) == (0, 200)
+
+
+def test_fingerprint_keeps_clashing_columns_and_empty_tables(spark, no_docs):
+    df = spark.createDataFrame([("a b", 1, "x", 2)], "text string, `_hashes` int, `_text` string, `_row` int")
+    got = multiset.fingerprint(df)
+    assert got.columns == ["text", "_hashes", "_text", "_row", "fingerprint"] and tuple(got.first())[:4] == ("a b", 1, "x", 2)
+    assert multiset.edited_fingerprints(no_docs).count() == 0
