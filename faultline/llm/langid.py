@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.llm.common import cut
+
 GRAMS = 4
 DIM_BITS = 13
 DIMS = 1 << DIM_BITS
@@ -27,6 +29,11 @@ LANDMARKS = 64
 RIDGE = 1.0
 BATCH = 256
 UNKNOWN = "und"
+SLICES = 64
+# Training rows are collected, and landmarks travel with the model: so many in all, whatever the
+# number of languages. With more than 40 languages each has fewer.
+TRAIN_ROWS = 40 * PER_LANGUAGE
+TRAIN_LANDMARKS = 40 * LANDMARKS
 
 _SPACED = np.arange(256, dtype=np.uint8)
 for _c in range(128):
@@ -80,16 +87,33 @@ def fit(grams: np.ndarray, langs: list[str], landmark: np.ndarray) -> dict:
     return {"names": names, "landmarks": marks, "coefficients": root @ beta[:-1], "bias": beta[-1]}
 
 
+def smallest_hashes(ids: DataFrame, most: int = PER_LANGUAGE) -> DataFrame:
+    """``id, lang, rank`` of the ``most`` ids of each language with the smallest hashes.
+
+    Ids are ranked per language and slice of the hash first, so a language that holds most rows is
+    spread over ``SLICES`` tasks; what these leave, at most ``SLICES * most`` rows a language, is
+    ranked again. Repeated ids are one.
+    """
+    h = F.xxhash64("id")
+    sliced = ids.select("id", "lang", h.alias("h"), F.pmod(h, F.lit(SLICES)).alias("slice")).distinct()
+    inner = Window.partitionBy("lang", "slice").orderBy("h", "id")
+    few = sliced.withColumn("r", F.row_number().over(inner)).where(F.col("r") <= most)
+    few = cut(few.select("id", "lang", "h"), "language-candidates")
+    outer = Window.partitionBy("lang").orderBy("h", "id")
+    return few.select("id", "lang", F.row_number().over(outer).alias("rank")).where(F.col("rank") <= most)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict:
     """Fit on the sample of documents with an id and a language that are not held out."""
     eligible = F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col)
     ids = docs.where(eligible).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    # The rank limit is applied per task before the shuffle: a language with most rows is cut there.
-    ranked = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PER_LANGUAGE)
-    picked = ranked.groupBy("id", "lang").agg(F.min("rank").alias("rank"))
+    names = max(1, ids.select("lang").distinct().count())
+    if names > TRAIN_LANDMARKS:
+        raise ValueError(f"{names} languages to learn, at most {TRAIN_LANDMARKS} are supported")
+    marks = min(LANDMARKS, TRAIN_LANDMARKS // names)
+    picked = smallest_hashes(ids, min(PER_LANGUAGE, TRAIN_ROWS // names))
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    # At most PER_LANGUAGE rows per language.
+    # At most TRAIN_ROWS rows.
     sample = rows.join(F.broadcast(picked), ["id", "lang"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -103,7 +127,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     grams = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in got], np.uint8).reshape(-1, DIMS)
     langs = [r["lang"] for r in got]
     seen: dict[str, int] = {}
-    first = np.array([seen.setdefault(x, 0) < LANDMARKS and not seen.update({x: seen[x] + 1}) for x in langs], bool)
+    first = np.array([seen.setdefault(x, 0) < marks and not seen.update({x: seen[x] + 1}) for x in langs], bool)
     return fit(grams, langs, first)
 
 

@@ -145,3 +145,25 @@ def test_personal_data_edge_rows(edge_docs, edge_rows, no_docs):
     assert crf.redact(edge_docs).columns == edge_docs.columns
     assert crf.personal_data(no_docs).count() == crf.redact(no_docs).count() == 0
     assert crf.redact(edge_docs).where(F.col("key") != "x").count() == 0
+
+
+def test_language_sample_is_the_smallest_hashes_whatever_the_spread(spark):
+    """One language with nearly all rows, repeated ids, a language with few."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 100 == 0, "few").otherwise("hot").alias("lang"))
+    rows = rows.union(rows.where("id < 50"))
+    got = {(r["lang"], r["id"]): r["rank"] for r in langid.smallest_hashes(rows, 150).collect()}
+    for lang in ("hot", "few"):
+        order = [r["id"] for r in rows.where(F.col("lang") == lang).select("id", F.xxhash64("id").alias("h")).distinct().orderBy("h").limit(150).collect()]
+        assert {i: r for (x, i), r in got.items() if x == lang} == {i: n for n, i in enumerate(order, 1)}
+
+
+def test_many_languages_share_the_training_rows(make, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 8)
+    monkeypatch.setattr(langid, "TRAIN_LANDMARKS", 4)
+    docs = make([(i, f"text {i} {'abcd'[i % 4] * 9}", f"l{i % 4}", None) for i in range(60)])
+    assert set(langid.train(docs)["names"]) == {"l0", "l1", "l2", "l3"}
+    monkeypatch.setattr(langid, "TRAIN_LANDMARKS", 3)
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(docs)
