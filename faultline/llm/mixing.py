@@ -2,15 +2,18 @@
 
 Sources get targets in words by weight, each at most a multiple of its size; what exceeds that is
 shared out again by weight. A source that must give ``f`` times its words takes every document
-``floor(f)`` times for certain. The rest is a fixed-size sample in which each document of the
-source has inclusion probability ``p = f - floor(f)``: documents are ranked by
-``[u / (1 - u)] / [p / (1 - p)]`` with u a hash of the row, the smallest first, until the words
-still needed are reached; the last document goes in if that comes closer to the target.
-
-Only the threshold of each source is computed from an order, and in two steps: word sums of the
-rank in ``BINS`` bins (partial sums per task, whatever the source's size), then the documents of
-the one bin where the target is reached. Whether a document is taken then depends on its own row
-and its source's threshold, so texts are never shuffled.
+``floor(f)`` times for certain. The rest is a fixed-size sample with unequal probabilities: a
+document's inclusion probability is proportional to its words, ``min(1, c * words)``, with c set per
+source so that the expected words are those still needed; documents whose probability reaches 1 are
+certain. Documents are ranked by ``[u / (1 - u)] / [p / (1 - p)]`` with u a hash of the row, the
+smallest first, until the words still needed are reached; the last document goes in if that comes
+closer to the target.
+
+c follows from counts per source and size: with sizes in descending order, the certain ones are a
+prefix. The threshold of each source is computed from an order in three steps: word sums of the rank
+in ``BINS`` bins (partial sums per task, whatever the source's size), the same inside the one bin
+where the target is reached, then sums per rank inside that one's bin. Whether a document is taken
+depends on its own row and its source's c and threshold, so texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -28,9 +31,9 @@ SEED = 20
 SMALL_ROWS = 100_000
 
 
-def uniform(*columns: Column) -> Column:
+def uniform(*columns: Column, seed: int = SEED) -> Column:
     """A number between 0 and 1, both excluded, from a hash: the same on every run."""
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), *columns), 12)
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12)
     return (h.cast("double") + 0.5) / float(1 << 52)
 
 
@@ -57,52 +60,95 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return caps.select("source", "source_size", F.least(F.lit(level) * F.col("weight"), F.col("cap")).alias("target"))
 
 
-def _rank(whole: Column, part: Column, u: Column) -> Column:
-    """Random odds over inclusion odds, mapped to 0..1 without changing the order."""
-    odds = (u / (1 - u)) / (part / (1 - part))
-    return F.when(part > 0, odds / (1 + odds)).otherwise(F.lit(1.0))
+def _rank(factor: Column, size: Column, u: Column) -> Column:
+    """Random odds over inclusion odds, mapped to 0..1 without changing the order: 0 for a certain
+    document, 1 for one that cannot be taken."""
+    p = factor * size
+    odds = (u / (1 - u)) / (p / (1 - p))
+    return F.when(p >= 1, 0.0).when(p > 0, odds / (1 + odds)).otherwise(1.0)
+
+
+def factors(sizes: DataFrame, goal: DataFrame, small: bool) -> DataFrame:
+    """``s, factor``: c of every source that needs more than its whole copies.
+
+    ``sizes`` has ``source, size``, ``goal`` has ``source, need``. With the sizes above some size
+    certain, c is the words still needed over the sum of squares of the others; the first size in
+    descending order that c leaves below certainty ends the prefix. The window sees a row per
+    distinct size.
+    """
+    counts = sizes.where("size > 0").groupBy(F.col("source").alias("s"), "size").agg(F.count(F.lit(1)).alias("n"))
+    side = goal.where("need > 0").select("source", "need")
+    rows = counts.join(F.broadcast(side) if small else side, F.col("s").eqNullSafe(F.col("source")))
+    words, squares = F.col("n") * F.col("size").cast("double"), F.col("n") * F.col("size").cast("double") ** 2
+    down = Window.partitionBy("s").orderBy(F.desc("size"))
+    rows = rows.select("s", "size", "need", F.sum(words).over(down).alias("upto"), words.alias("own"),
+                       F.sum(squares).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("rest"))
+    factor = (F.col("need") - (F.col("upto") - F.col("own"))) / F.col("rest")
+    # Rounding aside there is such a size, as the need is less than all words; else the largest c will do.
+    ends = F.max_by(factor, F.when(factor * F.col("size") < 1, F.col("size")))
+    return rows.groupBy("s").agg(F.coalesce(ends, 1 / F.min("size")).alias("factor"))
+
+
+def _edges(rows: DataFrame, known: DataFrame | None, bins: int, small: bool, name: str) -> DataFrame:
+    """``s, begin, bin`` per source: the bin (of ``bins`` over all ranks) in which the need is reached,
+    and the words ranked below it. Only rows in the bin found before (``known``) are looked at."""
+    binned = rows.withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)).cast("bigint"))
+    if known is not None:
+        before = known.select("s", "begin", F.col("bin").alias("outer"))
+        same = F.col("source").eqNullSafe(F.col("s")) & (F.floor(F.col("bin") / BINS) == F.col("outer"))
+        binned = binned.join(F.broadcast(before) if small else before, same).drop("s")
+    else:
+        binned = binned.withColumn("begin", F.lit(0).cast("bigint"))
+    sums = binned.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("need").alias("need"), F.max("begin").alias("base"))
+    end = F.col("base") + F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
+    sums = sums.withColumn("end", end).withColumn("begin", F.col("end") - F.col("words"))
+    edge = sums.where((F.col("begin") < F.col("need")) & (F.col("end") >= F.col("need")))
+    return cut(edge.select(F.col("source").alias("s"), "begin", "bin"), name)
 
 
 def thresholds(sizes: DataFrame, goal: DataFrame) -> DataFrame:
-    """``goal`` with ``whole`` copies, ``part`` and ``limit``, the rank up to which documents are
+    """``goal`` with ``whole`` copies, ``factor`` and ``limit``, the rank up to which documents are
     taken once more (null: none). ``sizes`` has ``source, size, u``."""
     f = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goal = goal.withColumn("f", f).withColumn("whole", F.floor(F.col("f") + 1e-12).cast("int"))
-    goal = goal.withColumn("part", F.greatest(F.col("f") - F.col("whole"), F.lit(0.0)))
-    goal = cut(goal.withColumn("need", F.col("target") - F.col("whole") * F.col("source_size")), "mix-goal")
+    need = F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0))
+    # What rounding leaves of a need is none.
+    need = F.when(F.col("f") - F.col("whole") > 1e-12, need).otherwise(0.0)
+    goal = cut(goal.withColumn("need", need), "mix-goal")
     small = goal.count() <= SMALL_ROWS
-    side = goal.select(F.col("source").alias("s"), "whole", "part", "need")
+    factor = cut(factors(sizes, goal, small), "mix-factors")
+    side = goal.where("need > 0").select("source", "need").join(factor, F.col("source").eqNullSafe(F.col("s"))).drop("source")
     # Past the bound both sides are dealt by source; adaptive execution splits a hot one.
     rows = sizes.where("size > 0").join(F.broadcast(side) if small else side, F.col("source").eqNullSafe(F.col("s")))
-    rows = rows.where("part > 0").select("source", "size", "need", _rank(F.col("whole"), F.col("part"), F.col("u")).alias("rank"))
-    rows = rows.withColumn("bin", F.floor(F.col("rank") * BINS).cast("int"))
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("need").alias("need"))
-    upto = Window.partitionBy("source").orderBy("bin")
-    bins = bins.withColumn("end", F.sum("words").over(upto)).withColumn("begin", F.col("end") - F.col("words"))
-    edge = bins.where((F.col("begin") < F.col("need")) & (F.col("end") >= F.col("need")))
-    edge = cut(edge.select(F.col("source").alias("s"), F.col("bin").alias("b"), "begin"), "mix-edges")
-    near = rows.join(
-        F.broadcast(edge) if small else edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))
-    )
+    rows = rows.select("source", "size", "need", _rank(F.col("factor"), F.col("size"), F.col("u")).alias("rank"))
+    edge = _edges(rows, None, BINS, small, "mix-edges")
+    edge = _edges(rows, edge, BINS * BINS, small, "mix-inner-edges")
+    inner = edge.select("s", "begin", F.col("bin").alias("b"))
+    here = F.least(F.floor(F.col("rank") * (BINS * BINS)), F.lit(BINS * BINS - 1)).cast("bigint")
+    near = rows.join(F.broadcast(inner) if small else inner, F.col("source").eqNullSafe(F.col("s")) & (here == F.col("b")))
+    # Rows of one rank, repeated ones and all certain ones, are taken or left together.
+    near = near.groupBy("source", "rank").agg(F.sum("size").alias("size"), F.max("need").alias("need"), F.max("begin").alias("begin"))
     near = near.withColumn("end", F.col("begin") + F.sum("size").over(Window.partitionBy("source").orderBy("rank")))
     near = near.where(F.col("end") - F.col("need") <= F.col("need") - (F.col("end") - F.col("size")))
-    inside = near.groupBy(F.col("source").alias("s")).agg(F.max("rank").alias("inside"))
-    last = edge.join(inside, edge["s"].eqNullSafe(inside["s"]), "left").select(
-        edge["s"], F.coalesce("inside", F.col("b") / F.lit(float(BINS)) - F.lit(1e-300)).alias("limit")
+    inside = near.groupBy(F.col("source").alias("s2")).agg(F.max("rank").alias("inside"))
+    last = inner.join(inside, F.col("s").eqNullSafe(F.col("s2")), "left").select(
+        "s", F.coalesce("inside", F.col("b") / F.lit(float(BINS * BINS)) - F.lit(1e-300)).alias("limit")
     )
     # No edge although words are needed: rounding left the sum of all words just below the need.
-    out = goal.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    return out.withColumn("limit", F.when(F.col("part") > 0, F.coalesce("limit", F.lit(1.0))))
+    of = factor.select(F.col("s").alias("s3"), "factor")
+    out = goal.join(of, F.col("source").eqNullSafe(F.col("s3")), "left").join(last, F.col("source").eqNullSafe(F.col("s")), "left")
+    out = out.withColumn("limit", F.when(F.col("factor").isNotNull(), F.coalesce("limit", F.lit(1.0))))
+    return out.drop("s", "s3")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
     return word_count(F.col(text_col)), uniform(F.col(id_col), F.col(text_col))
 
 
-def _copies(rows: DataFrame, limits: DataFrame, source: Column, u: Column, small: bool) -> tuple[DataFrame, Column]:
-    side = limits.select(F.col("source").alias("_s"), *[F.col(c).alias(f"_{c}") for c in ("source_size", "target", "whole", "part", "limit")])
+def _copies(rows: DataFrame, limits: DataFrame, source: Column, size: Column, u: Column, small: bool) -> tuple[DataFrame, Column]:
+    side = limits.select(F.col("source").alias("_s"), *[F.col(c).alias(f"_{c}") for c in ("source_size", "target", "whole", "factor", "limit")])
     joined = rows.join(F.broadcast(side) if small else side, source.eqNullSafe(F.col("_s")))
-    extra = F.coalesce(_rank(F.col("_whole"), F.col("_part"), u) <= F.col("_limit"), F.lit(False))
+    extra = F.coalesce((size > 0) & (_rank(F.col("_factor"), size, u) <= F.col("_limit")), F.lit(False))
     return joined, F.col("_whole") + extra.cast("int")
 
 
@@ -122,7 +168,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     table gives no rows; other columns are not read.
     """
     sizes, limits, small = _limits(docs, id_col, text_col, source_col)
-    joined, copies = _copies(sizes, limits, F.col("source"), F.col("u"), small)
+    joined, copies = _copies(sizes, limits, F.col("source"), F.col("size"), F.col("u"), small)
     taken = (F.col("size") * copies).cast("bigint")
     return joined.select(
         "doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
@@ -131,9 +177,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken; columns as they were."""
+    """The mix itself: every row of ``docs`` as often as it is taken; columns as they were.
+
+    Documents without words come with their source's whole copies, repeated rows all alike; an
+    empty table gives no rows.
+    """
     _, limits, small = _limits(docs, id_col, text_col, source_col)
-    _, u = _sized(docs, id_col, text_col)
-    rows = docs.select(whole_row(docs), u.alias("u"), F.col(source_col).alias("source"))
-    joined, copies = _copies(rows, limits, F.col("source"), F.col("u"), small)
+    size, u = _sized(docs, id_col, text_col)
+    rows = docs.select(whole_row(docs), size.alias("size"), u.alias("u"), F.col(source_col).alias("source"))
+    joined, copies = _copies(rows, limits, F.col("source"), F.col("size"), F.col("u"), small)
     return joined.select("_row", F.explode(F.array_repeat(F.lit(0), copies))).select("_row.*")
