@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from faultline.operators import contract
 from faultline.operators.contract import REASONS
 from faultline.operators.joins import DEFAULT_BROADCAST_MAX_BYTES
+from faultline.operators.medallion import build_silver
 from faultline.schemas import ALARM_COLUMNS
+from faultline.sources.sinks import write_feed
 
 # The rule names of the Silver contract.
 SILVER_RULES = ("first_copy_of_alarm", "site_id_not_null", "severity_not_null", "site_known")
@@ -146,6 +148,30 @@ def validate_silver(raw: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
+def written_silver(alarms: DataFrame, sites: DataFrame, path: str) -> dict[str, int]:
+    """Build Silver, write it to ``path`` and return the figures of ``validate_silver``, all from the
+    one job that writes: raw rows are counted where the feed is scanned, Silver's where it is written.
+
+    Distinct ids cannot be observed; ``duplicate_alarm_ids`` counts the rows numbered above one within
+    their id. Silver is dealt by id already, so the numbering adds no shuffle where its site join
+    broadcasts.
+    """
+    raw = Observation()
+    silver = build_silver(alarms.observe(raw, F.count(F.lit(1)).alias("n")), sites)
+    own = Window.partitionBy("alarm_id").orderBy("alarm_id")
+    again = silver.withColumn("_again", (F.row_number().over(own) > 1).cast("bigint"))
+    seen = Observation()
+    counted = again.observe(
+        seen,
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if(F.col("site_id").isNull()).alias("null_site_id"),
+        F.count_if(F.col("severity").isNull()).alias("null_severity"),
+        F.coalesce(F.sum("_again"), F.lit(0)).alias("duplicate_alarm_ids"),
+    )
+    write_feed(counted.drop("_again"), path)
+    return {"raw_alarm_rows": raw.get["n"], **seen.get}
+
+
 def validate_sites(sites: DataFrame) -> DataFrame:
     """One row: site rows, distinct ``site_id``s, surplus rows, rows without coordinates.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
@@ -20,6 +20,19 @@ def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return path
 
 
+def write_counted(
+    df: DataFrame, path: str, counts: dict[str, Column], partition_by: list[str] | None = None
+) -> dict[str, object]:
+    """``write_feed``, and figures of the rows it wrote, from the writing job itself.
+
+    ``counts`` maps names to aggregates without DISTINCT. The plan runs once: no second pass counts
+    or previews the rows, and the figures are those of the files.
+    """
+    seen = Observation()
+    write_feed(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), path, partition_by)
+    return dict(seen.get)
+
+
 def _quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.split("."))
 
