@@ -1,11 +1,13 @@
-"""Operator 4: url rules by a sorted sweep over reversed host names. DataFrame functions only.
-
-``blog.example.net`` has the key ``net.example.blog.``; a host and its subdomains are then one
-interval of keys, from ``net.example.`` up to (not with) ``net.example/`` as ``/`` follows ``.``.
-Rule intervals are nested or apart. Every rule host gives an event where its interval starts,
-carrying the stack of rules active from there on (its own and those of the hosts around it), and
-one where it ends, carrying the stack without its own. Sorted with the hosts of the urls, the last
-event before a host holds the rules for it. Of these the longest whose path starts the url's wins.
+"""Operator 4: url rules by a sorted sweep over reversed host names and paths. DataFrame functions only.
+
+``blog.example.net`` has the key ``net.example.blog.``; the rules that fit a host are those of its
+key's leading labels, found by an equi-join of distinct hosts with rule hosts. Under one rule host a
+rule is an interval of paths, from its path up to (not with) its path and a byte that no text has.
+These intervals are nested or apart. A rule gives an event where its interval starts, carrying the
+rule, and one where it ends, carrying the rule around it: the top of the stack after a push and after
+a pop. The rest of the stack need not travel, as every end names what is below. Sorted by rule host
+and path together with the paths of the urls, the last event before a path holds the longest rule of
+that host that fits. Of the few rule hosts of a url the best of these wins.
 """
 
 from __future__ import annotations
@@ -40,52 +42,74 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFr
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def _events(rules: DataFrame) -> DataFrame:
-    """``(key, kind, stack)``: kind 0 where a rule host's interval starts, 2 where it ends."""
+def _usable(rules: DataFrame) -> DataFrame:
+    """``key, path, rule``: one rule per host and path, a blocking one if there is any."""
     host = F.translate(F.col("host"), UPPER, LOWER)
     rule = F.struct(
         (F.length("host") + F.length("path")).alias("long"), F.length("host").alias("host_long"),
-        (F.col("verdict") == "block").alias("blocks"), F.concat(host, "path").alias("rule"),
-        F.col("path"), F.col("verdict"),
+        (F.col("verdict") == "block").alias("blocks"), F.concat(host, "path").alias("rule"), F.col("verdict"),
+    )
+    fit = rules.where((F.col("host") != "") & F.col("path").isNotNull() & F.col("verdict").isNotNull())
+    return fit.select(host_key(host).alias("key"), "path", rule.alias("r")).groupBy("key", "path").agg(F.max("r").alias("rule"))
+
+
+def _events(rules: DataFrame) -> DataFrame:
+    """``key, at, kind, event``: kind 0 where a rule's interval starts, 2 where it ends; ``event`` holds
+    the rule on top of the stack from there on (null: none).
+
+    The rule around another is the longest proper beginning of its path that is a rule of that host:
+    beginnings meet rules by host, length and hash, then by comparison.
+    """
+    shorter = rules.select("key", "path", F.explode(F.sequence(F.lit(0), F.length("path") - 1)).alias("n")).where("n between 0 and length(path) - 1")
+    start = F.expr("left(path, n)")
+    shorter = shorter.select("key", "path", "n", F.xxhash64(start).alias("h"))
+    outer = rules.select("key", F.length("path").alias("n"), F.xxhash64("path").alias("h"), F.col("path").alias("begin"), "rule")
+    around = shorter.join(outer, ["key", "n", "h"]).where(F.startswith("path", "begin"))
+    around = around.groupBy("key", "path").agg(F.max_by("rule", "n").alias("around"))
+    held = rules.join(around, ["key", "path"], "left")
+    at = F.col("path").cast("binary")
+    return held.select(
+        "key",
+        F.inline(
+            F.array(
+                F.struct(at.alias("at"), F.lit(0).alias("kind"), F.struct("key", "rule").alias("event")),
+                F.struct(
+                    F.concat(at, F.unhex(F.lit("FF"))).alias("at"), F.lit(2).alias("kind"),
+                    F.struct("key", F.col("around").alias("rule")).alias("event"),
+                ),
+            )
+        ),
     )
-    usable = rules.where((F.col("host") != "") & F.col("path").isNotNull() & F.col("verdict").isNotNull())
-    own = usable.select(host_key(host).alias("key"), rule.alias("r")).groupBy("key").agg(F.collect_set("r").alias("own"))
-    labels = F.split(F.expr("left(key, length(key) - 1)"), r"\.")
-    around = own.select("key", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("n"), labels.alias("labels"))
-    around = around.select("key", F.concat(F.array_join(F.expr("slice(labels, 1, n)"), "."), F.lit(".")).alias("outer"))
-    held = around.join(own.select(F.col("key").alias("outer"), "own"), "outer")
-    held = held.groupBy("key").agg(
-        F.flatten(F.collect_list("own")).alias("all"),
-        F.flatten(F.collect_list(F.when(F.col("outer") != F.col("key"), F.col("own")))).alias("rest"),
-    )
-    start = held.select("key", F.lit(0).alias("kind"), F.col("all").alias("stack"))
-    end = held.select(F.expr("left(key, length(key) - 1) || '/'").alias("key"), F.lit(2).alias("kind"), F.col("rest").alias("stack"))
-    return start.union(end)
 
 
-def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """``(key, stack)`` for the host keys that some rule covers: the sorted sweep.
+def innermost(points: DataFrame, rules: DataFrame) -> DataFrame:
+    """``key, path, rule``: the longest rule of the host ``key`` that fits each path: the sorted sweep.
 
-    Range shuffle deals contiguous pieces of the key order, written with their numbers; a window
-    sweeps each piece, and what is active where a piece starts comes from the last event of the
-    pieces before it (one row per piece). Only distinct hosts are swept, so a host with a third
-    of all urls is one row here.
+    ``points`` has ``key, path``, ``rules`` is ``_usable``. Range shuffle deals contiguous pieces of
+    the order, written with their numbers; a window sweeps each piece, and what is active where a
+    piece starts comes from the last event of the pieces before it (one row per piece). Distinct
+    paths are swept, so a url with a third of all rows is one row here, and a host with many paths
+    or rules is dealt over pieces.
     """
-    n = partitions(hosts.sparkSession)
-    events = _events(rules)
-    points = hosts.select("key").distinct().select("key", F.lit(1).alias("kind"))
-    swept = points.unionByName(events, allowMissingColumns=True)
-    swept = cut(swept.repartitionByRange(n, "key", "kind").withColumn("piece", F.spark_partition_id()), "url-sweep")
+    n = partitions(points.sparkSession)
+    swept = points.distinct().select("key", F.col("path").cast("binary").alias("at"), F.lit(1).alias("kind"), "path")
+    swept = swept.unionByName(_events(rules), allowMissingColumns=True)
+    swept = cut(swept.repartitionByRange(n, "key", "at", "kind").withColumn("piece", F.spark_partition_id()), "url-sweep")
     last = swept.groupBy("piece").agg(
-        F.max_by("stack", F.when(F.col("stack").isNotNull(), F.struct("key", "kind"))).alias("stack")
+        F.max_by("event", F.when(F.col("event").isNotNull(), F.struct("key", "at", "kind"))).alias("event")
     )
     before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select("piece", F.last("stack", ignorenulls=True).over(before).alias("carried"))
-    upto = Window.partitionBy("piece").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    active = swept.withColumn("stack", F.last("stack", ignorenulls=True).over(upto)).where("kind = 1")
+    carried = last.select("piece", F.last("event", ignorenulls=True).over(before).alias("carried"))
+    upto = Window.partitionBy("piece").orderBy("key", "at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    active = swept.withColumn("event", F.last("event", ignorenulls=True).over(upto)).where("kind = 1")
     # One row per shuffle partition.
-    active = active.join(F.broadcast(carried), "piece").withColumn("stack", F.coalesce("stack", "carried"))
-    return active.where(F.size("stack") > 0).select("key", "stack")
+    active = active.join(F.broadcast(carried), "piece").withColumn("event", F.coalesce("event", "carried"))
+    return active.where((F.col("event.key") == F.col("key")) & F.col("event.rule").isNotNull()).select("key", "path", "event.rule")
+
+
+def _bounded(df: DataFrame) -> DataFrame:
+    """Past the bound both sides of a join are dealt by its key; adaptive execution splits hot keys."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
 def judge_urls(rows: DataFrame, rules: DataFrame, url_col: str, default: str = "allow") -> DataFrame:
@@ -102,13 +126,17 @@ def judge_urls(rows: DataFrame, rules: DataFrame, url_col: str, default: str = "
     # One column for all others, so names used here cannot clash with theirs.
     row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
     parts = rows.select(row, url_host(url).alias("host"), url_path(url).alias("path"))
-    parts = parts.withColumn("_key", host_key(F.col("host")))
-    covered = cut(host_rules(parts.select(F.col("_key").alias("key")), rules), "url-rules")
-    if covered.count() <= SMALL_ROWS:
-        covered = F.broadcast(covered)
-    # Past the bound both sides are dealt by host; adaptive execution splits a hot host's rows.
-    joined = parts.join(covered.withColumnRenamed("key", "_key"), "_key", "left")
-    best = F.array_max(F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"])))
+    usable = cut(_usable(rules), "url-usable")
+    urls = cut(parts.select("host", "path").distinct(), "urls")
+    labels = F.split(F.col("host"), r"\.")
+    around = urls.select("host").distinct().select("host", F.reverse(labels).alias("labels"))
+    around = around.select("host", "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("n"))
+    around = around.select("host", F.concat(F.array_join(F.expr("slice(labels, 1, n)"), "."), F.lit(".")).alias("key"))
+    covered = cut(around.join(_bounded(usable.select("key").distinct()), "key"), "url-hosts")
+    points = urls.join(_bounded(covered), "host").select("key", "host", "path")
+    found = points.join(_bounded(cut(innermost(points.select("key", "path"), usable), "url-found")), ["key", "path"])
+    best = cut(found.groupBy("host", "path").agg(F.max("rule").alias("best")), "url-best")
+    joined = parts.join(_bounded(best), ["host", "path"], "left")
     return joined.select(
-        "_row.*", "host", "path", best["rule"].alias("rule"), F.coalesce(best["verdict"], F.lit(default)).alias("verdict")
+        "_row.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )

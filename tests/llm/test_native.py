@@ -92,6 +92,25 @@ def test_urls_match_brute_force(spark):
     assert {g["verdict"] for g in urlrules.judge_urls(rows.drop("_key"), table.limit(0), "url").collect()} == {"allow"}
 
 
+def test_many_nested_path_rules_on_one_host(spark):
+    """20,000 rules on one host, nested up to eight deep; no event holds more than one rule."""
+    rules = [("block" if i % 2 else "allow", "h.com", "/" + "/".join(str(i + 10**4)[: n + 1])) for n in range(5) for i in range(4000)]
+    rules = sorted(set(rules)) + [("allow", "com", "/1"), ("block", "h.com", "/\U0010ffff"), ("allow", "x.h.com", "/1/0/")]
+    urls = [f"http://{h}/{'/'.join(str(i * 37 % 4000 + 10**4))}{t}" for i in range(400) for h in ("h.com", "x.h.com") for t in ("", "/z")]
+    urls += ["http://h.com/\U0010ffff\U0010ffffx", "http://h.com/9", "http://other.com/1", "http://h.com"]
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id bigint, url string")
+    got = {g["page_id"]: (g["host"], g["path"], g["rule"], g["verdict"]) for g in urlrules.judge_urls(rows, table, "url").collect()}
+    by_path = {}
+    for v, h, p in rules:
+        by_path.setdefault(p, []).append((v, h, p))
+    for i, u in enumerate(urls):
+        path = u.split("://")[1].partition("/")[2]
+        near = [x for n in range(len(path) + 2) for x in by_path.get(("/" + path)[:n], [])]
+        assert got[i] == slow_verdict(u, near), u
+    assert not any(t.startswith("array") for _, t in urlrules._events(urlrules._usable(table)).dtypes)
+
+
 def slow_measures(text):
     text = text or ""
     w = WORD.findall(text)
