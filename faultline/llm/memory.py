@@ -99,9 +99,11 @@ class WordMemory:
         numbers = [np.fromiter(map(look, words), np.int32, len(words)) for words in texts]
         if self.numbers.new:
             self._learn()
+        if numbers:
+            came = np.bincount(np.concatenate(numbers), minlength=1)
+            self.seen[: len(came)] += came.astype(np.int32)
         out = []
         for number in numbers:
-            np.add.at(self.seen, number, 1)
             at = self._entries(number)
             out.append([c[at] for c in self.columns])
         return out

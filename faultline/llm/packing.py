@@ -16,46 +16,65 @@ so a length that a third of all pieces share is numbered by many tasks.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import partial
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.llm.bpe import Merges, in_order
 from faultline.llm.common import cut, partitions
+from faultline.llm.memory import ENCODE_WORDS, WordMemory, of_process
 
 SEQUENCE = 2048
 END_ID = 0
-MAX_WORDS = 600_000
 # Fixed value: a special token of the tokenizer.
 BETWEEN = "<|startoftext|>"
-GROUP_CHARS = 1 << 20
-BUCKETS = 256
+# Texts that show whether a tokenizer joins across blanks.
+PROBES = ("one two  three", "a b c", "don't 12 34 !! ?", "New York\nnew\tyork", "über naïve 中文 中")
+GROUP_CHARS = 1 << 21
+# In UTF-8: bytes of plain words (printable ASCII without the apostrophe, which some splits treat as part
+# of a word; the second bytes of Latin-1 letters), how plain words are lower-cased, and their parts.
+_ASCII = np.array([33 <= b <= 126 and b != 39 for b in range(256)])
+_LATIN = np.array([0x80 <= b <= 0xBF and b not in (0x97, 0xB7) for b in range(256)])
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+_PARTS = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]| |[^a-z0-9\x80-\xff ]+")
+# Fixed value: the steps before merging under which these parts are right.
+PLAIN_STEPS = [
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True,
+         "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+]
+# Rows that a task numbers, about; salts that spread rows alike; rows up to which a side is broadcast.
+BUCKET_ROWS = 200_000
+SALTS = 1024
+SMALL_ROWS = 200_000
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-class _Words(dict):
-    """Numbers for words, given out on first sight; ``new`` holds words whose ids are not known yet."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
+def _blocks(words: np.ndarray, ids: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ids in a row, ``n`` for each word, as blocks of words with equally many."""
+    start = np.cumsum(n) - n
+    return [(words[rows], ids[start[rows][:, None] + np.arange(k)]) for k in np.unique(n).tolist() for rows in [np.flatnonzero(n == k)]]
 
 
 class WordTokenizer:
     """Ids of whole texts from ids of words, for a tokenizer that never joins across blanks.
 
-    Splitting is at ASCII blanks only; anything else is left to the tokenizer. Words are
-    remembered, up to about ``MAX_WORDS``; then memory starts empty again.
+    Splitting is at ASCII blanks only; anything else is left to the tokenizer. Another kind of
+    tokenizer is refused: one whose ids for blank-separated probes are not those of the words.
+    Words are remembered within a bound (``WordMemory``).
     """
 
     def __init__(self, path: str):
@@ -63,40 +82,86 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words, self.flat, self.ends = _Words(), np.empty(0, np.uint32), np.empty(0, np.int64)
-
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row and how many each has. The words are encoded as one
-        text, parted by a special token: the tokenizer treats what lies between as texts of
-        their own. Words that hold that token's name are encoded one by one."""
+        for probe in PROBES:
+            parts = [i for w in probe.split() for i in self._ids(w)]
+            if self._ids(probe) != parts:
+                raise ValueError("this tokenizer does not treat blank-separated words one by one")
+        self.merges = self._plain_merges()
+        self.memory = WordMemory(self._encode, 1, batch=GROUP_CHARS)
+
+    def _plain_merges(self) -> Merges | None:
+        """Merges for plain words (``_plain``), if the tokenizer does nothing but lower their case, split them
+        into letters, single digits and the rest, and merge bytes of which the last carries the mark of
+        a word's end. (A byte that is no printable character of Latin-1 is named by one beyond it.)"""
+        model = json.loads(self.tokenizer.to_str())
+        bpe = model["model"]
+        wanted = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "ignore_merges": False}
+        steps = [model.get("normalizer"), model.get("pre_tokenizer")]
+        if any(bpe.get(k) != v for k, v in wanted.items()) or not bpe.get("end_of_word_suffix") or steps != PLAIN_STEPS:
+            return None
+        vocab, end = bpe["vocab"], bpe["end_of_word_suffix"]
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+        self.inside, self.last = (np.array([vocab.get(names[b] + e, -1) for b in range(256)], np.int64) for e in ("", end))
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in bpe["merges"]]
+        return Merges([(vocab[a], vocab[b], i, vocab[a + b]) for i, (a, b) in enumerate(pairs)], len(vocab))
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encode(self, words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of all words in a row and how many each has."""
+        plain = self._plain(words) if self.merges else np.zeros(len(words), bool)
+        at = np.flatnonzero(plain)
+        found = self._merge_plain([words[i] for i in at.tolist()], at) if len(at) else []
+        other = np.flatnonzero(~plain).tolist()
+        for s in range(0, len(other), ENCODE_WORDS):
+            part = other[s : s + ENCODE_WORDS]
+            ids, n = self._encode_other([words[i].decode() for i in part])
+            found += _blocks(np.array(part), ids, n)
+        return in_order(found, len(words))
+
+    @staticmethod
+    def _plain(words: list[bytes]) -> np.ndarray:
+        """Which words are of printable ASCII without apostrophes and of Latin-1 letters, and not long.
+        Those that may hold the name of a special token are not plain."""
+        codes = np.frombuffer(b" ".join([*words, b""]), np.uint8)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        after, before = np.r_[codes[1:], 0], np.r_[0, codes[:-1]]
+        ok = _ASCII[codes] | ((codes == 0xC3) & _LATIN[after]) | (_LATIN[codes] & (before == 0xC3))
+        ok &= (codes != ord("<")) | (after != ord("|"))
+        return np.logical_and.reduceat(ok | (codes == 32), np.cumsum(size + 1) - size - 1) & (size <= 64)
+
+    def _merge_plain(self, words: list[bytes], at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Blocks of words and their ids: all parts of all words are merged at once."""
+        text = b" ".join(words).translate(_LOWER)
+        codes = np.frombuffer(text, np.uint8)
+        tokens = _PARTS.findall(text)
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        ends = np.cumsum(size) - 1
+        blank = codes[ends] == 32
+        symbols = self.inside[codes]
+        symbols[ends] = self.last[codes[ends]]
+        (ids,), n = in_order(self.merges.merge(symbols[codes != 32], size[~blank]), int((~blank).sum()))
+        # Parts follow each other in the order of the words: so do their ids.
+        of = np.cumsum(blank)[~blank]
+        return _blocks(at, ids, np.bincount(of, n, len(words)).astype(np.int64))
+
+    def _encode_other(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the tokenizer. The words are encoded as one text, parted by a special token: it
+        treats what lies between as texts of their own. Words that hold that token's name are
+        encoded one by one."""
         part = self.tokenizer.token_to_id(BETWEEN)
         if part is None or any(BETWEEN in w for w in words):
-            made = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
-            return np.array([i for x in made for i in x], np.uint32), np.array([len(x) for x in made], np.int64)
-        ids = np.array(self.tokenizer.encode_batch_fast([BETWEEN.join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            made = [self._ids(w) for w in words]
+            return np.array([i for x in made for i in x], np.int32), np.array([len(x) for x in made], np.int32)
+        ids = np.array(self.tokenizer.encode_batch_fast([BETWEEN.join(words)], add_special_tokens=False)[0].ids, np.int32)
         cuts = np.flatnonzero(ids == part)
-        return ids[ids != part], np.diff(np.r_[-1, cuts, len(ids)]) - 1
+        return ids[ids != part], (np.diff(np.r_[-1, cuts, len(ids)]) - 1).astype(np.int32)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.words) > MAX_WORDS:
-            self._forget()
-        look, split = self.words.__getitem__, [(t or "").encode().split() for t in texts]
-        numbers = [np.fromiter(map(look, words), np.int64, len(words)) for words in split]
-        if self.words.new:
-            ids, n = self._encode([w.decode() for w in self.words.new])
-            self.ends = np.r_[self.ends, np.cumsum(n) + len(self.flat)]
-            self.flat = np.r_[self.flat, ids]
-            self.words.new = []
-        starts = np.r_[0, self.ends[:-1]] if len(self.ends) else self.ends
-        out = []
-        for number in numbers:
-            first, n = starts[number], self.ends[number] - starts[number]
-            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append(np.r_[self.flat[at], np.uint32(END_ID)].astype("<u4"))
-        return out
+        found = self.memory([(t or "").encode().split() for t in texts])
+        return [np.r_[ids, np.int32(END_ID)].astype("<u4") for (ids,) in found]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,29 +171,34 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, id_co
     ``sequence`` are cut.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer_path)
-
-        def cut_up(group):
-            rows = []
-            for doc_id, ids in zip([g[0] for g in group], words([g[1] for g in group])):
-                for p, s in enumerate(range(0, len(ids), sequence)):
-                    part = ids[s : s + sequence]
-                    rows.append((doc_id, p, s, len(part), zlib.crc32(part.tobytes())))
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-            return pa.record_batch(columns, [f.split()[0] for f in PIECE_SCHEMA.split(", ")])
+    def cut_up(doc_ids: list, texts: list, words: WordTokenizer) -> pa.RecordBatch:
+        made = words(texts)
+        size = np.array([len(ids) for ids in made], np.int64)
+        n = -(-size // sequence)
+        of = np.repeat(np.arange(len(made)), n)
+        piece = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        start = piece * sequence
+        crc = [zlib.crc32(made[d][s : s + sequence].tobytes()) for d, s in zip(of.tolist(), start.tolist())]
+        columns = [
+            pa.array(doc_ids, pa.int64()).take(pa.array(of)), pa.array(piece.astype(np.int32)), pa.array(start),
+            pa.array(np.minimum(sequence, size[of] - start)), pa.array(crc, pa.int64()),
+        ]
+        return pa.record_batch(columns, [f.split()[0] for f in PIECE_SCHEMA.split(", ")])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One tokenizer and one memory of words per worker process: later tasks find them warm.
+        words = of_process(f"words {tokenizer_path}", partial(WordTokenizer, tokenizer_path))
         for batch in batches:
-            group, chars = [], 0
+            doc_ids, texts, chars = [], [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                group.append((doc_id.as_py(), text.as_py()))
-                chars += len(group[-1][1] or "")
+                doc_ids.append(doc_id.as_py())
+                texts.append(text.as_py())
+                chars += len(texts[-1] or "")
                 if chars >= GROUP_CHARS:
-                    yield cut_up(group)
-                    group, chars = [], 0
-            if group:
-                yield cut_up(group)
+                    yield cut_up(doc_ids, texts, words)
+                    doc_ids, texts, chars = [], [], 0
+            if doc_ids:
+                yield cut_up(doc_ids, texts, words)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, PIECE_SCHEMA)
@@ -259,11 +329,13 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, id_col:
     only the histogram.
     """
     spark = docs.sparkSession
-    table = cut(pieces(docs, tokenizer_path, sequence, id_col, text_col), "pieces")
-    buckets = min(partitions(spark), BUCKETS)
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")
+    # The salt, written with the row, spreads repeated rows; alike rows may swap places.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")
+    table = cut(pieces(docs, tokenizer_path, sequence, id_col, text_col).select("*", salt), "pieces")
+    buckets = max(partitions(spark), ceil(table.count() / BUCKET_ROWS))
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(buckets)).cast("int")
     dealt = table.withColumn("bucket", bucket)
-    # At most sequence x BUCKETS rows.
+    # At most a row per length and bucket.
     counts = cut(dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = np.zeros(sequence + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():
@@ -271,13 +343,18 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, id_col:
     where = plan(histogram, sequence)
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
-    numbered = dealt.withColumn("r", F.row_number().over(inside) - 1).join(F.broadcast(before), ["length", "bucket"])
+    # Past the bound both sides are dealt by length and bucket, which hold BUCKET_ROWS rows or so.
+    before = F.broadcast(before) if counts.count() <= SMALL_ROWS else before
+    inside = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32", "salt")
+    numbered = dealt.withColumn("r", F.row_number().over(inside) - 1).join(before, ["length", "bucket"])
     numbered = numbered.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("r") + F.col("before")).alias("rank"))
     # Length and rank as one sorted number: ranks stay below 2 ** 50.
-    starts = (where["length"] << 50) + where["first"]
+    # A run for each place in each pattern used: under sequence ** 2 / 2 of them, 40 bytes each.
+    shared = spark.sparkContext.broadcast(where | {"starts": (where["length"] << 50) + where["first"]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where = shared.value
+        starts = where["starts"]
         for batch in batches:
             rank = batch["rank"].to_numpy(zero_copy_only=False)
             key = (batch["length"].to_numpy(zero_copy_only=False) << 50) + rank

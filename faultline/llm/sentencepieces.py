@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faultline.llm.bpe import Merges, in_order
 from faultline.llm.memory import WordMemory, of_process
 
 # Fixed values of the model format: the blank mark, kinds of pieces, the model type.
@@ -171,71 +172,27 @@ class PieceModel:
         return re.compile(f"{MARK}*[{body}]+|{MARK}+|[^{MARK}]" if body else f"{MARK}+|[^{MARK}]")
 
     def _number_pairs(self) -> None:
-        """Numbers for symbols (ids of pieces, then other characters that pieces have) and, for every
-        pair of symbols that makes a piece, a sorted key, the piece and its rank by score."""
+        """Numbers for symbols (ids of pieces, then other characters that pieces have), and every pair
+        of symbols that makes a piece, ranked by the piece's score."""
         symbols = dict(self.ids)
         for c in sorted({c for p in self.ids for c in p}):
             symbols.setdefault(c, len(self.surfaces) + len(symbols))
-        self.radix = max(symbols.values()) + 1
-        scores = sorted(set(self.scores.values()), reverse=True)
-        rank = {x: i for i, x in enumerate(scores)}
-        made = [
-            (symbols[p[:i]] * self.radix + symbols[p[i:]], i_p, rank[self.scores[p]])
-            for p, i_p in self.ids.items()
-            for i in range(1, len(p))
-            if p[:i] in symbols and p[i:] in symbols
-        ]
-        made.sort()
-        self.pair_keys, self.pair_pieces, self.pair_ranks = (np.array(c, np.int64) for c in zip(*made)) if made else (np.zeros(0, np.int64),) * 3
-        self.no_rank = len(scores)
+        rank = {x: i for i, x in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        self.merges = Merges(
+            [
+                (symbols[p[:i]], symbols[p[i:]], rank[self.scores[p]], made)
+                for p, made in self.ids.items()
+                for i in range(1, len(p))
+                if p[:i] in symbols and p[i:] in symbols
+            ],
+            max(symbols.values()) + 1,
+        )
         self.of_code = np.full(0x110000, -1, np.int64)
-        for c, i in symbols.items():
-            if len(c) == 1 and i < len(self.surfaces):
-                self.of_code[ord(c)] = i
         self.piece_chars = np.zeros(len(self.surfaces), np.int32)
         for p, i in self.ids.items():
             self.piece_chars[i] = len(p)
-
-    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of pairs of symbols; pairs that make none have the rank after all others."""
-        if not len(self.pair_keys):
-            return np.full(left.shape, self.no_rank), np.zeros(left.shape, np.int64)
-        key = left * self.radix + right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        hit = self.pair_keys[at] == key
-        return np.where(hit, self.pair_ranks[at], self.no_rank), self.pair_pieces[at]
-
-    def _merge_alike(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(rows, ids)`` of segments of equal length in characters (rows of ``symbols``): all merge
-        their best pair at once, and leave when none is left."""
-        rows = np.arange(len(symbols))
-        rank, piece = self._pairs(symbols[:, :-1], symbols[:, 1:])
-        while len(rows):
-            if symbols.shape[1] == 1:
-                yield rows, symbols
-                return
-            best = rank.argmin(axis=1)
-            line = np.arange(len(rows))
-            goes_on = rank[line, best] < self.no_rank
-            if not goes_on.all():
-                yield rows[~goes_on], symbols[~goes_on]
-                rows, symbols, rank, piece, best = (x[goes_on] for x in (rows, symbols, rank, piece, best))
-                line = np.arange(len(rows))
-                if not len(rows):
-                    return
-            symbols[line, best] = piece[line, best]
-            width = symbols.shape[1]
-            keep = np.arange(width - 1)[None, :]
-            symbols = np.take_along_axis(symbols, keep + (keep > best[:, None]), axis=1)
-            if width == 2:
-                continue
-            keep = keep[:, : width - 2]
-            # Pair i now starts at symbol i: those before the merge stay, those after it move up.
-            order = keep + (keep >= best[:, None])
-            rank, piece = np.take_along_axis(rank, order, axis=1), np.take_along_axis(piece, order, axis=1)
-            for at, ok in ((best - 1, best > 0), (best, best < width - 2)):
-                l, a = line[ok], at[ok]
-                rank[l, a], piece[l, a] = self._pairs(symbols[l, a], symbols[l, a + 1])
+            if len(p) == 1:
+                self.of_code[ord(p)] = i
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a segment: the best-scored adjacent pair that is a piece is merged, the
@@ -295,23 +252,12 @@ class PieceModel:
         symbols, starts = self.of_code[codes], np.cumsum(size) - size
         known = np.minimum.reduceat(symbols, starts) >= 0 if len(segments) else np.zeros(0, bool)
         plain = known & (size <= SHORT)
-        sizes, found = np.zeros(len(segments), np.int32), []
-        for n in np.unique(size[plain]).tolist():
-            alike = np.flatnonzero(plain & (size == n))
-            for rows, ids in self._merge_alike(symbols[starts[alike][:, None] + np.arange(n)]):
-                found.append((alike[rows], ids, self.piece_chars[ids]))
+        at = np.flatnonzero(plain)
+        found = [(at[rows], ids, self.piece_chars[ids]) for rows, ids in self.merges.merge(symbols[np.repeat(plain, size)], size[at])]
         for i in np.flatnonzero(~plain).tolist():
             ids, lengths = self._encode_segment(segments[i])
             found.append((np.array([i]), ids[None], lengths[None]))
-        for rows, ids, _ in found:
-            sizes[rows] = ids.shape[1]
-        first = np.cumsum(sizes, dtype=np.int64) - sizes
-        out = [np.empty(int(sizes.sum()), np.int32) for _ in range(2)]
-        for rows, *columns in found:
-            at = first[rows][:, None] + np.arange(columns[0].shape[1])
-            for flat, values in zip(out, columns):
-                flat[at] = values
-        return out, sizes
+        return in_order(found, len(segments))
 
     def _encode_segment(self, segment: str) -> tuple[np.ndarray, np.ndarray]:
         """The same for one segment, with long segments and unknown characters."""

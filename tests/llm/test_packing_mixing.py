@@ -107,3 +107,92 @@ def test_mix_comes_near_targets(make):
         taken[source[g["doc_id"]]] += g["taken"]
         target[source[g["doc_id"]]] = g["target"]
     assert all(abs(taken[s] - target[s]) <= 50 for s in target) and len(target) == 5
+
+
+def slow_copies(rows):
+    """``copies`` per row of source, size, u: sizes in descending order for c, then ranks in order."""
+    sizes = collections.Counter()
+    for s, n, _ in rows:
+        sizes[s] += n
+    target, copies = slow_targets(sizes), []
+    ranks, edge = {}, {}
+    for s in sizes:
+        whole = int(target[s] / sizes[s] + 1e-12) if sizes[s] else 0
+        need = target[s] - whole * sizes[s]
+        mine = sorted({n for x, n, _ in rows if x == s and n}, reverse=True)
+        ranks[s], edge[s] = (whole, None), None
+        if need <= 1e-6 * max(sizes[s], 1):
+            continue
+        for z in mine:
+            c = (need - sum(n for x, n, _ in rows if x == s and n > z)) / sum(n * n for x, n, _ in rows if x == s and n <= z)
+            if c * z < 1:
+                break
+        rank = lambda n, u, c=c: 0.0 if c * n >= 1 else (o := u / (1 - u) / (c * n / (1 - c * n))) / (1 + o)
+        ranks[s] = (whole, rank)
+        by_rank = collections.Counter()
+        for x, n, u in rows:
+            if x == s and n:
+                by_rank[rank(n, u)] += n
+        begin = 0
+        for q in sorted(by_rank):
+            if begin < need and begin + by_rank[q] - need <= need - begin:
+                edge[s] = q
+            begin += by_rank[q]
+    for s, n, u in rows:
+        whole, rank = ranks[s]
+        copies.append(whole + (rank is not None and n > 0 and edge[s] is not None and rank(n, u) <= edge[s]))
+    return copies
+
+
+@pytest.mark.parametrize("bins", [4096, 4])
+def test_documents_taken_match_a_plain_ranking(make, edge_rows, monkeypatch, bins):
+    monkeypatch.setattr(mixing, "BINS", bins)
+    rng = np.random.default_rng(bins)
+    rows = [(i, "w " * int(rng.integers(0, 60)) + ("long " * 900 if i % 97 == 0 else ""), "en", ["a", "b", None, "c", "hot", "hot"][i % 6]) for i in range(1500)]
+    rows += [rows[5], rows[5], rows[11]] + edge_rows
+    docs = make(rows)
+    keyed = docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("n"), mixing.uniform(docs["doc_id"], docs["text"]).alias("u")).collect()
+    want = collections.Counter((r["doc_id"], r["n"], c) for r, c in zip(keyed, slow_copies([(r["source"], r["n"], r["u"]) for r in keyed])))
+    got = mixing.mix(docs).collect()
+    assert collections.Counter((g["doc_id"], g["size"], g["copies"]) for g in got) == want
+    assert len({c for *_, c in want}) > 1
+
+
+def test_longer_documents_are_included_as_often_as_stated(make):
+    """600 sources of equal sizes are 200 draws for each weight: frequencies against min(1, c * words)."""
+    sizes = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89] * 4
+    docs = make([(1000 * s + i, "w " * n, "en", f"s{s:03}") for s in range(600) for i, n in enumerate(sizes)])
+    total, often, share = sum(sizes), collections.defaultdict(list), {}
+    for g in mixing.mix(docs).collect():
+        turn = g["doc_id"] // 1000 % 3
+        share[turn] = g["target"] / total
+        often[turn, g["size"]].append(g["copies"])
+    assert len({round(x, 6) for x in share.values()}) == 3
+    for turn, f in share.items():
+        whole, need = int(f + 1e-9), (f - int(f + 1e-9)) * total
+        if need < 1e-6:
+            assert all(c == whole for (t, _), cs in often.items() if t == turn for c in cs)
+            continue
+        for z in sorted(set(sizes), reverse=True):
+            c = (need - sum(n for n in sizes if n > z)) / sum(n * n for n in sizes if n <= z)
+            if c * z < 1:
+                break
+        for n in set(sizes):
+            p = min(1.0, c * n)
+            seen = np.mean(often[turn, n]) - whole
+            # Four standard deviations of 800 draws, and a little for the last document of each sample.
+            assert abs(seen - p) <= 4 * np.sqrt(p * (1 - p) / len(often[turn, n])) + 0.02, (turn, n, seen, p)
+
+
+def test_another_kind_of_tokenizer_is_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="blank-separated"):
+        packing.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_workers_keep_one_memory():
+    from faultline.llm.memory import of_process
+
+    made = []
+    assert of_process("test key", lambda: made.append(1) or made) is of_process("test key", lambda: made.append(2)) and made == [1]
