@@ -145,19 +145,32 @@ def _core(word: str, start: int) -> tuple[str, int, int]:
     return word[left:right], start + left, start + right
 
 
+def _word_before(text: str, at: int) -> str:
+    """The nearest word before ``at`` on its line, lower-cased, however far; empty if there is none."""
+    end = at
+    while end and not (text[end - 1].isalnum() or text[end - 1] in "_\n"):
+        end -= 1
+    start = end
+    while start and (text[start - 1].isalnum() or text[start - 1] == "_"):
+        start -= 1
+    return text[start:end].lower()
+
+
+_AFTER = re.compile(r"[^\w\n]*(\w+)")
+
+
 def runs(text: str) -> list[dict]:
     """Runs of neighbouring words with a digit or an ``@``: words, places and the words around."""
     out, last = [], None
     for m in _WORD.finditer(text):
         if last is None or text[last : m.start()].strip(" \t") or m.start() - last > 3:
-            before = re.search(r"(\w+)\W*\Z", text[max(0, m.start() - 40) : m.start()].rpartition("\n")[2])
-            out.append({"words": [], "at": [], "prev": before[1].lower() if before else "", "end": 0})
+            out.append({"words": [], "at": [], "prev": _word_before(text, m.start()), "end": 0})
         word, s, e = _core(m.group(), m.start())
         out[-1]["words"].append(word)
         out[-1]["at"].append((s, e))
         out[-1]["end"] = last = m.end()
     for r in out:
-        after = re.match(r"\W*(\w+)", text[r["end"] : r["end"] + 40].partition("\n")[0])
+        after = _AFTER.match(text, r["end"])
         r["next"] = after[1].lower() if after else ""
     return out
 
@@ -165,10 +178,10 @@ def runs(text: str) -> list[dict]:
 def word_features(word: str) -> list[str]:
     digits = [c for c in word if c.isascii() and c.isdigit()]
     n = len(digits)
-    full = re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", word)) if len(word) <= 64 else "long"
+    full = re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", word))
     shape = re.sub(r"(.)\1+", r"\1", full)
     size = str(n) if n <= 5 else "6-8" if n <= 8 else "9-12" if n <= 12 else "13-19" if n <= 19 else "20+"
-    out = [f"shape={shape[:24]}", f"digits={size}", f"chars={''.join(sorted(set(shape)))[:12]}"]
+    out = [f"shape={shape}", f"digits={size}", f"chars={''.join(sorted(set(shape)))}"]
     if len(full) <= 16:
         out.append(f"full={full}")
     if 12 < n < 20:
@@ -377,7 +390,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars", field: Field | None = None) -> DataFrame:
     """``docs`` with every span replaced by its kind in angle brackets, and the length column
     brought up to date where it was set. Spans that overlap become one, named after the first.
-    Null texts stay null; columns and order as they were."""
+    Null texts stay null; columns and order as they were. Repeated rows are redacted alike; an empty
+    table gives no rows."""
     model = field or train()
 
     @F.pandas_udf("string")
