@@ -175,16 +175,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
             made = [features(t) for t in f["text"]]
             yield pd.DataFrame({
                 "pick": f["pick"].to_numpy(), "bad": [posterior[tuple(int(v) for v in x)] for x in f["votes"]],
-                "at": [np.flatnonzero(m).astype(np.int16) for m, _ in made], "value": [m[m != 0] for m, _ in made],
+                "at": [np.flatnonzero(m).astype(np.int16).tobytes() for m, _ in made],
+                "value": [m[m != 0].astype(np.float32).tobytes() for m, _ in made],
                 "own": [own for _, own in made],
             })
 
-    got = sample.mapInPandas(run, "pick bigint, bad double, at array<smallint>, value array<float>, own double")
+    got = sample.mapInPandas(run, "pick bigint, bad double, at binary, value binary, own double")
     # One row per hash: repeated rows of a sampled id would pass the bound.
     got = got.dropDuplicates(["pick"]).orderBy("pick").collect()
     x = np.zeros((len(got), DIMS), np.float32)
     for i, r in enumerate(got):
-        x[i, r["at"]] = r["value"]
+        x[i, np.frombuffer(r["at"], np.int16)] = np.frombuffer(r["value"], np.float32)
     bad = np.array([r["bad"] for r in got], float)
     own = np.array([r["own"] for r in got], np.float32)[:, None]
     typical = x[bad < 0.5].mean(axis=0) if (bad < 0.5).any() else np.zeros(DIMS, np.float32)
@@ -222,7 +223,10 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows the classifier rejects; columns and order as they were."""
+    """``docs`` without the rows the classifier rejects; columns and order as they were.
+
+    Repeated rows stay or go together; an empty table gives no rows.
+    """
     model = train(docs, id_col, text_col)
     rows = docs.select(whole_row(docs), F.col(text_col).alias("text"))
     return score(rows, model).where(F.col("p_bad") < REJECT_FROM).select("_row.*")
