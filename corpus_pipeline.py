@@ -2,6 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept. All but the
 last return the columns of ``documents``; their results are written as Parquet and read again.
+Null, empty and very long texts, null ids, repeated rows and other columns are treated as the
+operators say; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,8 +48,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# The classifier, the fingerprints and the tokenizer are not SQL; tests hold the stages and run()
-# against the operators they call, not against an independent version.
+# The classifier, the fingerprints and the tokenizer are not SQL; tests hold run() against a plain
+# version of the five stages that takes the trained models as inputs.
 ORACLE_SQL = None
 
 
