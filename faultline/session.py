@@ -19,8 +19,8 @@ from pyspark.sql import SparkSession
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # No broadcast from a planner size *estimate* (file sizes can understate
-    # a table many times). Broadcasts happen only behind an explicit row-count
-    # check (``bounded_broadcast``) or when adaptive execution has *measured*
+    # a table many times). Broadcasts happen only behind an explicit measurement
+    # of bytes (``bounded_broadcast``) or when adaptive execution has *measured*
     # a shuffle side below the adaptive threshold.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
