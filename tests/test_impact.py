@@ -83,3 +83,45 @@ def test_tables_without_steps_and_empty_logs(spark):
     assert run(spark, [("a", "b", day(1))], "b") == {} == run(spark, [], "a")
     with pytest.raises(ValueError):
         impact(frame(spark, []), "a", "sideways")
+
+
+def test_rounds_hold_only_tables_that_are_fed_and_feed(spark, monkeypatch):
+    from faultline.operators import impact as module
+
+    sizes, plain = [], module.written
+
+    def kept(df, name):
+        made = plain(df, name)
+        sizes.append((name, made.count()))
+        return made
+
+    monkeypatch.setattr(module, "written", kept)
+    # Ten inner tables of two feeders each, below them 300 leaves and beside them 300 roots that nothing feeds.
+    rows = [(f"t{i}", f"t{j}", day(i + j)) for i in range(10) for j in (i + 1, i + 2)]
+    rows += [(f"t{i % 10}", f"leaf{i // 2}", day(i % 37)) for i in range(600)]
+    rows += [(f"root{i}", f"t{i % 10}", day(i % 41)) for i in range(300)]
+    assert run(spark, rows, "t0") == slow(rows, "t0")
+    rounds = [(name, n) for name, n in sizes if name != "impact-steps"]
+    assert max(n for _, n in rounds) <= 40
+    # One file of results a round: t2 is the last to be improved, eleven tables are known.
+    assert len(rounds) < 2 * 10
+
+
+def test_steps_without_a_time_do_not_make_a_route_older(spark):
+    rows = [("a", "b", None), ("b", "d", day(2)), ("a", "c", day(5)), ("c", "d", day(6)), ("x", "d", day(9))]
+    assert run(spark, rows, "a") == {"b": (1, None), "c": (1, day(5)), "d": (2, day(5))}
+    # Equally long routes to f that are found in different rounds; that by way of e has no time.
+    rows = [("a", "p", day(1)), ("p", "q", day(1)), ("q", "f", day(1)), ("a", "e", None), ("z", "e", None), ("e", "g", None), ("z", "g", None)]
+    rows += [("g", "f", None), ("f", "h", day(7))]
+    got = run(spark, rows, "a")
+    assert got["f"] == (3, None) and got["h"] == (4, day(7))
+
+
+@pytest.mark.parametrize("limit", [0, 200])
+def test_fronts_past_the_broadcast_bound(spark, monkeypatch, limit):
+    from faultline.operators import impact as module
+
+    monkeypatch.setattr(module, "DEFAULT_BROADCAST_MAX_BYTES", limit)
+    r = random.Random(7)
+    rows = [(f"t{r.randrange(40)}", f"t{r.randrange(40)}", day(r.randrange(300))) for _ in range(70)]
+    assert run(spark, rows, "t0") == slow(rows, "t0")
